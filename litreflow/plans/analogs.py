@@ -305,7 +305,7 @@ def validity_price_open(spark, sf_dir) -> DataFrame:
     return validity_join(_line_points(t), _price_bands(t), [("cust", "band_cust")],
                          at="l_shipdate", lower=F.col("eff_from"), upper=F.col("eff_to"),
                          is_open=_open(), open_inclusive=False,
-                         bucket_days=VALIDITY_BUCKET_DAYS).drop("cust")
+                         bucket_days=VALIDITY_BUCKET_DAYS).drop("cust", "band_cust")
 
 
 # J11 + J12: day-snapped bounds, '>=' on the open-ended branch, newest band
