@@ -16,7 +16,9 @@ from litreflow.constants import NIL_GUID
 
 
 def _c(col) -> Column:
-    return F.col(col) if isinstance(col, str) else col
+    if isinstance(col, str):
+        return F.col(col)
+    return col if isinstance(col, Column) else F.lit(col)
 
 
 def substitute_key(preferred, fallback, nil=NIL_GUID) -> Column:

@@ -12,6 +12,8 @@ rounded quotients are computed in integer arithmetic (``half_up_ratio``).
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -448,5 +450,142 @@ def label_flag(spark, sf_dir) -> DataFrame:
     t = _t(spark, sf_dir)
     d = t.documents.select("doc_id", "lang", "source", "n_chars")
     return existence_flag(d, t.labels, ["doc_id"], "has_label")
-def buyer_orders(spark, sf_dir):
-    raise NotImplementedError
+def _buyer_order_base(t: DriverTables) -> DataFrame:
+    """orders as buyer orders. Money as exact decimals: price per litre =
+    total * 0.001, grid price = total * 0.0011, adjusted price = the
+    customer's balance * 0.01; urgent/high orders are deliveries."""
+    o = t.orders
+    total = F.col("o_totalprice").cast("decimal(18,2)")
+    delivery = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
+    return o.select(
+        F.col("o_orderkey").alias("order_key"), F.col("o_custkey").alias("cust"),
+        F.col("o_orderstatus").alias("status_title"),
+        F.col("o_orderpriority").alias("product"),
+        delivery.alias("is_for_delivery"),
+        F.when(delivery, F.col("o_orderpriority")).alias("delivery_depot"),
+        F.col("o_orderstatus").alias("depot_title"),
+        (total * F.lit(Decimal("0.001"))).alias("buyer_price"),
+        F.round(F.col("o_totalprice") * 100).cast("long").alias("price_units"),
+        (total * F.lit(Decimal("0.0011"))).alias("grid_price"),
+        F.col("o_orderdate").alias("invoice_date"),
+        F.when(F.col("o_orderstatus") == "F", F.lit("Own Stock Purchase")).alias("pricing_model"))
+
+
+def _wms_and_load(t: DriverTables) -> DataFrame:
+    """One pass over lineitem per order: the conditional pivot of the linked
+    amounts by type ('A' commission, 'N' interest, 'R' invoice), the litres,
+    and the newest load (highest line number; lowest supplier, part on a
+    tie) -- a max over a struct, so it shares the pivot's shuffle."""
+    li = t.lineitem
+    ep = F.col("l_extendedprice").cast("decimal(18,2)")
+    linked = li.select(
+        "l_orderkey", "l_returnflag", "l_quantity",
+        F.when(F.col("l_returnflag") == "A", ep * F.col("l_discount").cast("decimal(18,2)"))
+        .when(F.col("l_returnflag") == "N", F.col("l_tax").cast("decimal(18,2)"))
+        .otherwise(ep).alias("linked_amount"),
+        F.struct(F.col("l_linenumber").alias("load_number"),
+                 (-F.col("l_suppkey")).alias("neg_supp"),
+                 (-F.col("l_partkey")).alias("neg_part")).alias("load"))
+    return conditional_pivot(
+        linked, ["l_orderkey"], "l_returnflag", "linked_amount",
+        {"commission_wms": "A", "interest_wms": "N", "invoice_amount_wms": "R"},
+        extra=[F.sum("l_quantity").alias("final_litres"), F.max("load").alias("top_load")])
+
+
+def _rebate_prices(t: DriverTables, bo: DataFrame, delivery: bool) -> DataFrame:
+    """Purchase price from the customer's price band valid at the order
+    date, newest band first. Collection: raw bounds, '>' when open-ended,
+    grid price - rebate. Delivery: day-snapped bounds, '>=' from the snapped
+    start, (adjusted price if > 0 else price) - rebate."""
+    pts = bo.filter(F.col("is_for_delivery") == F.lit(delivery)).select(
+        "order_key", "cust", "invoice_date", "grid_price", "buyer_price", "adjusted_price")
+    bands = _price_bands(t).withColumn(
+        "rebate_dec", F.col("rebate").cast("decimal(18,2)") * F.lit(Decimal("0.0001")))
+    if delivery:
+        m = validity_join(pts, bands, [("cust", "band_cust")], at="invoice_date",
+                          lower=F.col("eff_from"), upper=end_of_snapped_day("eff_to"),
+                          is_open=_open(), open_lower=snap_to_day("eff_from"),
+                          open_inclusive=True, bucket_days=VALIDITY_BUCKET_DAYS)
+        price = F.when(F.col("adjusted_price") > 0, F.col("adjusted_price") - F.col("rebate_dec")) \
+            .otherwise(F.col("buyer_price") - F.col("rebate_dec"))
+    else:
+        m = validity_join(pts, bands, [("cust", "band_cust")], at="invoice_date",
+                          lower=F.col("eff_from"), upper=F.col("eff_to"), is_open=_open(),
+                          open_inclusive=False, bucket_days=VALIDITY_BUCKET_DAYS)
+        price = F.col("grid_price") - F.col("rebate_dec")
+    best = latest_per_key(m.select("order_key", "eff_from", "band_order", price.alias("pp")),
+                          ["order_key"], [F.col("eff_from").desc()], [F.col("band_order").desc()])
+    name = "delivery_price" if delivery else "collection_price"
+    return best.select(F.col("order_key").alias(f"{name}_key"), F.col("pp").alias(name))
+
+
+# Buyer orders with pivoted linked amounts, the newest load, rebate
+# prices from validity joins, the price waterfall, paid flag and interest.
+def buyer_orders(spark, sf_dir) -> DataFrame:
+    t = _t(spark, sf_dir)
+    cust = t.customer.select(F.col("c_custkey"), F.col("c_name").alias("buyer"),
+                             F.col("c_mktsegment").alias("buyer_category"),
+                             (F.col("c_acctbal").cast("decimal(18,2)") * F.lit(Decimal("0.01")))
+                             .alias("adjusted_price"))
+    bo = _buyer_order_base(t).join(cust, F.col("cust") == F.col("c_custkey"))
+    wms = _wms_and_load(t)
+    load = wms.select("l_orderkey", "commission_wms", "interest_wms", "invoice_amount_wms",
+                      "final_litres",
+                      F.col("top_load.load_number").alias("load_number"),
+                      (-F.col("top_load.neg_supp")).alias("load_supp"),
+                      (-F.col("top_load.neg_part")).alias("linked_deal"))
+    supp = t.supplier.select("s_suppkey", F.col("s_name").alias("supplier_order"), "s_nationkey")
+    nat = t.nation.select("n_nationkey", F.col("n_name").alias("supplier_depot"),
+                          F.col("n_regionkey").alias("transporter_id"))
+    tr = t.region.select("r_regionkey", F.col("r_name").alias("transporter"))
+    pd = payment_dates(spark, sf_dir).select(F.col("order_key").alias("pd_key"), "payment_date")
+    j = (bo.join(pd, F.col("order_key") == F.col("pd_key"), "left")
+         .join(load, F.col("order_key") == F.col("l_orderkey"), "left")
+         .join(supp, F.col("load_supp") == F.col("s_suppkey"), "left")
+         .join(nat, F.col("s_nationkey") == F.col("n_nationkey"), "left")
+         .join(_rebate_prices(t, bo, False), F.col("order_key") == F.col("collection_price_key"),
+               "left")
+         .join(_rebate_prices(t, bo, True), F.col("order_key") == F.col("delivery_price_key"),
+               "left")
+         .join(tr, F.col("transporter_id") == F.col("r_regionkey"), "left"))
+    litres = F.col("final_litres")
+    units_l = litres.cast("long")
+    has_comm = F.col("commission_wms").isNotNull() & (litres > 0)
+    comm_units = (F.col("commission_wms") * 10000).cast("long")
+    # ROUND(price - commission / litres, 4) with price = units / 1e5
+    fallback = F.when(has_comm, half_up_ratio(F.col("price_units") * units_l - comm_units * 10,
+                                              units_l * 100000, 4)) \
+        .otherwise(F.lit(0).cast("decimal(18,4)"))
+    purchase = F.round(F.coalesce(F.col("collection_price"), F.col("delivery_price"), fallback),
+                       4).cast("decimal(18,4)")
+    days = calendar_day_diff("payment_date", "invoice_date")
+    interest_wms = F.col("interest_wms")
+    interest = (F.when((interest_wms == 0) | interest_wms.isNull(), F.lit(0).cast("decimal(18,2)"))
+                .when(F.col("payment_date").isNotNull(),
+                      half_up_ratio(units_l * F.col("price_units") * days, 365000000, 2))
+                .otherwise(F.lit(0).cast("decimal(18,2)")))
+    no_delivery = F.col("delivery_depot").isNull()
+    d2 = "decimal(18,2)"
+    return j.select(
+        F.col("order_key").alias("buyer_order_id"), "buyer", "status_title",
+        litres.alias("litres"), "invoice_date", "product",
+        F.when(no_delivery, F.col("depot_title")).otherwise(F.col("supplier_depot")).alias("depot"),
+        F.col("delivery_depot").alias("delivery_point"), "load_number", "transporter",
+        "supplier_order", "linked_deal",
+        F.when(no_delivery, F.lit("Collection")).otherwise(F.lit("Delivery")).alias("order_type"),
+        "buyer_category",
+        F.col("payment_date").isNotNull().alias("order_paid"),
+        purchase.alias("purchase_price"), purchase.alias("purchase_price_numeric"),
+        F.round("buyer_price", 4).cast("decimal(18,4)").alias("selling_price"),
+        F.col("buyer_price").cast("decimal(18,5)").alias("selling_price_numeric"),
+        F.round(litres.cast("decimal(18,0)") * F.col("buyer_price"), 2).cast(d2)
+        .alias("invoice_amount"),
+        F.round("invoice_amount_wms", 2).cast(d2).alias("invoice_amount_wms"),
+        F.round("commission_wms", 2).cast(d2).alias("commission_wms"),
+        F.round(F.when(has_comm, F.col("commission_wms")).otherwise(F.lit(0)), 2).cast(d2)
+        .alias("commission"),
+        "payment_date", interest.alias("interest"),
+        F.round(interest_wms, 2).cast(d2).alias("interest_wms"),
+        F.col("invoice_date").alias("captured_date"),
+        F.when(F.col("pricing_model") == "Own Stock Purchase", F.lit("Stock delivery"))
+        .otherwise(F.lit("Stock allocation")).alias("stock_type"))
