@@ -1,0 +1,208 @@
+"""Operators on hand-written rows: NULLs, ties, sentinels, bounds."""
+
+import random
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from conftest import ts
+from litreflow.constants import NIL_GUID
+from litreflow.functions.scalar import end_of_snapped_day, snap_to_day
+from litreflow.operators import (
+    collect_and_flag,
+    conditional_pivot,
+    existence_flag,
+    latest_per_key,
+    settlement_date,
+    two_sided_ledger,
+    union_with_typed_nulls,
+    validity_join,
+)
+
+OPEN = "1900-01-01 00:00:00"
+
+
+def _open(col):
+    return F.col(col) == F.lit(OPEN).cast("timestamp_ntz")
+
+
+# --- latest_per_key ----------------------------------------------------------
+def test_latest_per_key_ties_nulls_and_null_key(spark):
+    rows = [("a", ts("2025-01-02 00:00:00"), "x2"), ("a", ts("2025-01-02 00:00:00"), "x1"),
+            ("a", ts("2025-01-01 00:00:00"), "x0"), ("a", None, "xn"),
+            (None, ts("2025-01-05 00:00:00"), "n1"), (None, ts("2025-01-06 00:00:00"), "n2"),
+            ("b", None, "b1")]
+    df = spark.createDataFrame(rows, "k string, d timestamp_ntz, v string")
+    got = {r.k: r.v for r in latest_per_key(df, ["k"], [F.col("d").desc()]).collect()}
+    # DESC puts NULLs last; tie on d broken by v ascending; NULL key is a group
+    assert got == {"a": "x1", None: "n2", "b": "b1"}
+
+
+def test_latest_per_key_is_repeatable(spark):
+    rows = [(1, i % 3, f"v{i}") for i in range(50)]
+    df = spark.createDataFrame(rows, "k int, o int, v string").repartition(7)
+    a = latest_per_key(df, ["k"], [F.col("o").desc()]).collect()
+    b = latest_per_key(df.repartition(3), ["k"], [F.col("o").desc()]).collect()
+    assert a == b and a[0].v == "v11"
+
+
+# --- validity_join ------------------------------------------------------------
+def test_validity_join_bounds_and_open_end(spark):
+    bands = spark.createDataFrame([
+        ("r", "closed", ts("2025-01-01 00:00:00"), ts("2025-01-31 23:59:59")),
+        ("r", "open", ts("2025-02-01 00:00:00"), ts(OPEN)),
+    ], "key string, band string, f timestamp_ntz, t timestamp_ntz")
+    pts = spark.createDataFrame([
+        (1, "r", ts("2025-01-01 00:00:00")),   # on the lower bound
+        (2, "r", ts("2025-01-31 23:59:59")),   # on the upper bound
+        (3, "r", ts("2025-02-01 00:00:00")),   # equal to the open band's start
+        (4, "r", ts("2025-03-15 00:00:00")),   # inside the open band
+        (5, "r", ts("2024-12-31 00:00:00")),   # before everything
+        (6, "z", ts("2025-01-10 00:00:00")),   # no band for the key
+        (7, "r", None),                        # no instant
+    ], "id int, key string, at timestamp_ntz")
+
+    def run(inclusive):
+        out = validity_join(pts, bands, ["key"], at="at", lower=F.col("f"), upper=F.col("t"),
+                            is_open=_open("t"), open_inclusive=inclusive, bucket_days=7)
+        return sorted((r.id, r.band) for r in out.collect())
+
+    assert run(False) == [(1, "closed"), (2, "closed"), (4, "open")]
+    assert run(True) == [(1, "closed"), (2, "closed"), (3, "open"), (4, "open")]
+
+
+def test_validity_join_day_snapped_bounds(spark):
+    bands = spark.createDataFrame([
+        ("k", "a", ts("2025-01-01 00:00:00"), ts("2025-03-01 22:59:59")),
+        ("k", "b", ts("2025-01-01 00:00:00"), ts("2025-03-01 23:00:00")),
+        ("k", "c", ts("2025-01-01 00:00:00"), ts("2025-03-01 23:30:00")),
+        ("k", "o", ts("2025-03-03 23:30:00"), ts(OPEN)),
+    ], "key string, band string, f timestamp_ntz, t timestamp_ntz")
+    pts = spark.createDataFrame([(1, "k", ts("2025-03-01 12:00:00")),
+                                 (2, "k", ts("2025-03-02 10:00:00")),
+                                 (3, "k", ts("2025-03-04 00:00:00"))],
+                                "id int, key string, at timestamp_ntz")
+    out = validity_join(pts, bands, ["key"], at="at", lower=F.col("f"),
+                        upper=end_of_snapped_day("t"), is_open=_open("t"),
+                        open_lower=snap_to_day("f"), open_inclusive=True, bucket_days=1)
+    got = sorted((r.id, r.band) for r in out.collect())
+    # 22:59:59 + 1h stays on 1 March -> ends 28 Feb 23:59:59; 23:00 and 23:30
+    # roll to 2 March -> end 1 March 23:59:59; the open band starts at
+    # midnight of (23:30 + 1h) = 4 March.
+    assert got == [(1, "b"), (1, "c"), (3, "o")]
+
+
+def _brute(points, bands, inclusive):
+    out = set()
+    for pid, pk, at in points:
+        for bid, bk, f, t in bands:
+            if pk is None or pk != bk or at is None:
+                continue
+            closed = f is not None and t is not None and f <= at <= t
+            is_open = t is not None and t.year == 1900
+            open_ok = is_open and f is not None and (at >= f if inclusive else at > f)
+            if closed or open_ok:
+                out.add((pid, bid))
+    return out
+
+
+def test_validity_join_matches_brute_force_with_hot_key(spark):
+    import datetime as dt
+    rnd = random.Random(7)
+    base = dt.datetime(2024, 1, 1)
+    keys = ["hot"] * 6 + ["a", "b", "c", None]
+    bands = []
+    for i in range(60):
+        f = base + dt.timedelta(hours=rnd.randrange(0, 24 * 200))
+        t = (dt.datetime(1900, 1, 1) if rnd.random() < 0.15
+             else f + dt.timedelta(hours=rnd.randrange(-48, 24 * 40)))
+        bands.append((i, rnd.choice(keys), f, t))
+    points = [(i, rnd.choice(keys), base + dt.timedelta(hours=rnd.randrange(0, 24 * 260)))
+              for i in range(400)]
+    points.append((999, "hot", None))
+    pdf = spark.createDataFrame(points, "pid int, pk string, at timestamp_ntz")
+    bdf = spark.createDataFrame(bands, "bid int, bk string, f timestamp_ntz, t timestamp_ntz")
+    for inclusive in (False, True):
+        out = validity_join(pdf, bdf, [("pk", "bk")], at="at", lower=F.col("f"), upper=F.col("t"),
+                            is_open=_open("t"), open_inclusive=inclusive, bucket_days=5)
+        got = [(r.pid, r.bid) for r in out.collect()]
+        assert len(got) == len(set(got))          # each match exactly once
+        assert set(got) == _brute(points, bands, inclusive)
+
+
+# --- aggregates ----------------------------------------------------------------
+def test_conditional_pivot(spark):
+    df = spark.createDataFrame([("o1", "Commission", 5.0), ("o1", "Commission", 7.0),
+                                ("o1", "Interest", 0.0), ("o2", "Other", 1.0)],
+                               "k string, title string, amount double")
+    out = conditional_pivot(df, ["k"], "title", "amount",
+                            {"c": "Commission", "i": "Interest", "f": "Final Invoice Transaction"})
+    got = {r.k: (r.c, r.i, r.f) for r in out.collect()}
+    assert got == {"o1": (7.0, 0.0, None), "o2": (None, None, None)}
+
+
+def test_two_sided_ledger(spark):
+    left = spark.createDataFrame([("d1", 10.0), ("d1", 5.0), ("d2", 1.0)], "k string, x double")
+    right = spark.createDataFrame([("d1", 3.0), ("d3", 4.0)], "k string, y double")
+    out = two_sided_ledger(left, right, "k", "x", "y", "sold", "bought")
+    got = {r.k: (r.sold, r.bought) for r in out.collect()}
+    assert got == {"d1": (15.0, 3.0), "d2": (1.0, 0.0), "d3": (0.0, 4.0)}
+
+
+def test_collect_and_flag(spark):
+    df = spark.createDataFrame([("s0", None), ("s1", "b1"), ("s2", "b9"), ("s2", "b2"),
+                                ("s3", "b1"), ("s3", None)], "so string, bo string")
+    out = collect_and_flag(df, ["so"], "bo", "orders", "split")
+    got = {r.so: (r.orders, r.split) for r in out.collect()}
+    assert got == {"s0": (None, False), "s1": (["b1"], False), "s2": (["b2", "b9"], True),
+                   "s3": (["b1"], False)}
+
+
+# --- flags and unions ------------------------------------------------------------
+def test_existence_flag_no_fanout(spark):
+    left = spark.createDataFrame([("t1",), ("t2",), (None,)], "id string")
+    right = spark.createDataFrame([("t1",), ("t1",), ("t3",), (None,)], "tid string")
+    out = existence_flag(left, right, [("id", "tid")], "isOrder")
+    got = sorted((r.id or "", r.isOrder) for r in out.collect())
+    assert got == [("", False), ("t1", True), ("t2", False)]
+
+
+def test_union_with_typed_nulls(spark):
+    a = spark.createDataFrame([("d1", "c1")], "DriverID string, Code string")
+    b = spark.createDataFrame([("v1", "c2")], "VehicleID string, Code string")
+    out = union_with_typed_nulls([a, b], [("DriverID", "string"), ("VehicleID", "string"),
+                                          ("Code", "string")])
+    assert [tuple(r) for r in out.collect()] == [("d1", None, "c1"), (None, "v1", "c2")]
+
+
+# --- settlement ---------------------------------------------------------------------
+def test_settlement_date_cases(spark):
+    inv = spark.createDataFrame([
+        ("full", Decimal("100.00")), ("under", Decimal("100.00")), ("none", Decimal("100.00")),
+        ("over", Decimal("100.00")), ("nil", Decimal("100.00")), ("alloc", Decimal("100.00")),
+        ("nulltx", Decimal("100.00"))], "k string, inv decimal(18,2)")
+    d = ts
+    links = [
+        # k, kind, amount, txn_id, txn_date, captured, entry_captured
+        ("full", "Payment", Decimal("60.00"), "e1", d("2025-01-05 00:00:00"), d("2025-01-06 00:00:00"), d("2025-01-07 00:00:00")),
+        ("full", "Payment", Decimal("40.00"), "e2", d("2025-01-03 00:00:00"), d("2025-01-04 00:00:00"), d("2025-01-09 00:00:00")),
+        ("under", "Payment", Decimal("40.00"), "e3", d("2025-01-03 00:00:00"), d("2025-01-04 00:00:00"), d("2025-01-08 00:00:00")),
+        ("under", "Allocation", None, NIL_GUID, d("2025-01-02 00:00:00"), d("2025-01-10 00:00:00"), None),
+        ("over", "Payment", Decimal("150.00"), "e4", d("2025-02-01 00:00:00"), d("2025-02-02 00:00:00"), d("2025-02-03 00:00:00")),
+        ("nil", "Payment", None, NIL_GUID, d("2025-03-01 00:00:00"), d("2025-03-02 00:00:00"), None),
+        ("alloc", "Allocation", None, "x", d("2025-04-01 00:00:00"), d("2025-04-02 00:00:00"), None),
+        ("alloc", "Interest", Decimal("999.00"), "y", d("2025-04-05 00:00:00"), d("2025-04-09 00:00:00"), None),
+        ("nulltx", "Payment", Decimal("10.00"), None, d("2025-05-01 00:00:00"), d("2025-05-02 00:00:00"), None),
+    ]
+    ldf = spark.createDataFrame(links, "k string, kind string, amount decimal(18,2), txn string, "
+                                       "td timestamp_ntz, cap timestamp_ntz, ecap timestamp_ntz")
+    out = settlement_date(inv, ldf, key="k", invoice_amount="inv", kind="kind", amount="amount",
+                          txn_id="txn", txn_date="td", captured="cap", entry_captured="ecap")
+    got = {r.k: (r.TotalPaid, r.PaymentDate) for r in out.collect()}
+    assert got["full"] == (Decimal("100.00"), d("2025-01-03 00:00:00"))   # first payment
+    assert got["under"] == (Decimal("40.00"), d("2025-01-10 00:00:00"))   # latest candidate
+    assert got["none"] == (Decimal("0.00"), None)
+    assert got["over"] == (Decimal("150.00"), d("2025-02-01 00:00:00"))
+    assert got["nil"] == (Decimal("0.00"), d("2025-03-02 00:00:00"))      # NULL sum -> fallback
+    assert got["alloc"] == (Decimal("0.00"), d("2025-04-02 00:00:00"))
+    assert got["nulltx"] == (Decimal("10.00"), None)                      # no candidate
