@@ -1,0 +1,135 @@
+"""The marts on hand-written source rows (tests/fixtures.py)."""
+
+import datetime as dt
+
+import pytest
+
+from fixtures import registry
+from litreflow.constants import NIL_GUID
+from litreflow.plans import fuelcard, samples, wholesale
+
+D = dt.datetime
+
+
+@pytest.fixture(scope="module")
+def src(spark):
+    return registry(spark)
+
+
+def test_m01_history_projection(src):
+    df = fuelcard.fuel_transactions_all_time(src)
+    assert len(df.columns) == 26
+    assert sorted(r.FuelTransactionID for r in df.collect()) == ["t1", "t2", "t3", "t4", "t5", "t6"]
+
+
+def test_m04_live_vehicles_greater_of(src):
+    got = {r.VehicleID: r.MaxObservedCapacity for r in fuelcard.live_vehicles(src).collect()}
+    assert got == {"v1": 80.0, "v2": 60.0, "v3": None}
+    assert len(fuelcard.live_vehicles(src).columns) == 11
+
+
+def test_m05_daily_litres_substituted_customer(src):
+    rows = fuelcard.data_tool(src).collect()
+    got = {(r.Date, r.ServiceProviderID, r.Customer): r.LitreAmount for r in rows}
+    assert got == {
+        (dt.date(2025, 3, 1), NIL_GUID, "Cust One"): 15.0,       # nil provider -> customer
+        (dt.date(2025, 3, 1), "c2", "Provider Two"): 7.0,       # provider's title
+        (dt.date(2025, 3, 2), None, "Cust Three"): 3.0,          # NULL provider -> customer
+        (dt.date(2017, 12, 31), NIL_GUID, "Cust One"): 1.0,      # no date floor in this mart
+    }
+    assert rows[0].asDict().keys() == {"Date", "TFNCustomerID", "ServiceProviderID", "CustomerID",
+                                       "SupplySiteID", "Depot", "Customer", "LitreAmount"}
+
+
+def test_m02_orders_with_drivers(src):
+    rows = {r.OrderNumberTitle: r for r in fuelcard.orders_with_drivers(src).collect()}
+    assert set(rows) == {"ON1", "ON2"}
+    assert rows["ON1"].DriverID == "drv1" and rows["ON1"].CustomerName == "Tfn One"
+    assert rows["ON1"].MaxLitres == 90.0          # tie broken by remaining columns
+    assert rows["ON1"].DepotName == "Depot One"
+    assert rows["ON2"].DriverID is None and rows["ON2"].CustomerName is None
+    assert len(fuelcard.orders_with_drivers(src).columns) == 17
+
+
+def test_m03_active_virtual_cards(src):
+    rows = fuelcard.active_virtual_cards(src, as_of="2025-03-01 00:00:00").collect()
+    got = sorted((r.LinkType, r.DriverID, r.VehicleID, r.CardID, r.CustomerID,
+                  r.CurrentVirtualCardNumber) for r in rows)
+    assert got == [("Card_Vehicle", None, "v1", "card1", "c1", "CODE-B"),
+                   ("Driver", "d1", None, None, None, "CODE-B")]
+
+
+def test_m06_enriched_fact(src):
+    rows = {r.TransactionID: r for r in fuelcard.precalculated_transactions(src).collect()}
+    t1, t4 = rows["t1"], rows["t4"]
+    assert (t1.Customer, t1.AccountManager, t1.FunderType, t1.Region) == \
+        ("Tfn One", "Manager A", "Self-Funded", "North")
+    assert (t1.VehicleID, t1.Registration, t1.ProductCategory, t1.CustomerRegion) == \
+        ("v1", "REG1", "Fuel", "Area One")
+    assert (t1.NCP, t1.NCP_AM, t1.NewBusiness) == (True, "AM1", True)
+    assert t1.SupplierDiscountPerLitre == pytest.approx(0.3)
+    assert (t4.AccountManager, t4.FunderType, t4.NCP, t4.NewBusiness) == \
+        (None, "Funder One", False, False)
+    assert t4.SupplierDiscountPerLitre is None
+    assert len(fuelcard.precalculated_transactions(src).columns) == 27
+
+
+def test_m13_m14_dashboards(src):
+    sd = fuelcard.supplier_data(src).collect()
+    assert len(sd) == 1
+    r = sd[0]
+    assert (r.TransactionID, r.isOrder, r.isAuthorised, r.IsManual) == ("t1", True, True, False)
+    assert (r.ConsignmentPrice, r.PumpPrice, r.TFNPricing) == (18.5, 21.0, 20.0)
+    assert len(fuelcard.supplier_data(src).columns) == 35
+    sm = fuelcard.supplier_manager(src)
+    assert "DepotManager" in sm.columns and len(sm.columns) == 26
+    assert [x.DepotManager for x in sm.collect()] == ["Mgr One"]
+
+
+def test_m07_payment_dates(src):
+    rows = {r.BuyerOrderID: r for r in wholesale.payment_dates(src).collect()}
+    assert set(rows) == {"b1", "b2"}            # b3 captured before the cut-off
+    assert rows["b1"].TotalPaid == 20000.0
+    assert rows["b1"].PaymentDate == D(2025, 9, 20, 1)
+    assert (rows["b2"].TotalPaid, rows["b2"].PaymentDate) == (0, None)
+
+
+def test_m08_buyer_orders(src):
+    rows = {r.BuyerOrder: r for r in wholesale.buyer_orders(src).collect()}
+    b1, b2, b3 = rows["BO-1"], rows["BO-2"], rows["BO-3"]
+    assert b1.PurchasePrice == pytest.approx(18.1)     # collection rebate, strict '>'
+    assert b2.PurchasePrice == pytest.approx(20.1)     # delivery chain, snapped '>='
+    assert b3.PurchasePrice == pytest.approx(9.0)      # BuyerPrice - commission / litres
+    assert (b1.OrderPaid, b2.OrderPaid, b3.OrderPaid) == (True, False, False)
+    assert b1.Interest == pytest.approx(54.79)
+    assert (b2.Interest, b3.Interest) == (0.0, 0.0)
+    assert (b1.Commission, b2.Commission) == (500.0, 0.0)
+    assert (b1.Depot, b2.Depot) == ("Depot A", "Depot S")
+    assert (b2.Transporter, b2.LinkedSupplyDeal, b2.OrderType) == ("Trans One", "DEAL-1", "Delivery")
+    assert (b1.StockType, b2.StockType) == ("Stock delivery", "Stock allocation")
+    assert len(wholesale.buyer_orders(src).columns) == 35
+
+
+def test_m09_m10_m11_loads_and_supplier_orders(src):
+    assert wholesale.loads(src).count() == 4                      # 2 buyer orders x 2 vehicles
+    assert len(wholesale.loads(src).columns) == 14
+    so = wholesale.supplier_orders(src)
+    assert so.count() == 3 and len(so.columns) == 16
+    rows = {r.SupplierOrder: r for r in wholesale.supplier_orders_with_buyer_orders(src).collect()}
+    assert (rows["SO-1"].BuyerOrders, rows["SO-1"].SplitLoad) == (["BO-1", "BO-2"], True)
+    assert (rows["SO-2"].BuyerOrders, rows["SO-2"].SplitLoad) == (None, False)
+    assert len(wholesale.supplier_orders_with_buyer_orders(src).columns) == 18
+
+
+def test_m12_deal_balance(src):
+    rows = wholesale.wholesale_data(src).collect()
+    assert len(rows) == 1
+    r = rows[0]
+    assert (r.DealIdentifier, r.SoldLitres, r.PurchasedLitres) == ("DEAL-1", 1100.0, 2000.0)
+    assert len(wholesale.wholesale_data(src).columns) == 13
+
+
+def test_samples(spark):
+    first = samples.my_first_model(spark)
+    assert sorted(first.collect(), key=lambda r: (r.id is None, r.id)) == [(1,), (None,)]
+    assert samples.my_second_model(first).collect() == [(1,)]
