@@ -1,0 +1,78 @@
+"""Every registered query against its DuckDB statement (sf0.001), the
+flagship entry, and the shape of the physical plans."""
+
+import contextlib
+import io
+
+import duckdb
+import pytest
+
+import __spark_entry__ as E
+from conftest import SF_SMALL
+from litreflow.sources.tables import DRIVER_TABLES
+
+
+def _canon(table):
+    cols = sorted(table.column_names)
+    data = [table.column(c).to_pylist() for c in cols]
+    return cols, sorted((tuple(repr(x) for x in row) for row in zip(*data)))
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for t in DRIVER_TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+    return con
+
+
+def test_every_query_has_an_oracle():
+    assert set(E.oracle_sql()) == set(E.queries())
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_query_matches_oracle(spark, duck, name):
+    got = E.queries()[name](spark, SF_SMALL).toArrow()
+    want = duck.sql(E.oracle_sql()[name]).to_arrow_table()
+    assert got.num_rows == want.num_rows
+    assert _canon(got) == _canon(want)
+
+
+def test_entry_runs(spark):
+    df = E.entry(spark)
+    assert df.columns == ["ship_date", "customer_id", "provider_id", "supply_site_id", "depot",
+                          "customer", "litres"]
+    assert df.count() > 0
+
+
+def _plan(df) -> str:
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode="formatted")
+    return buf.getvalue()
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_no_cartesian_or_nested_loop_join(spark, name):
+    if name == "daily_quantity_incremental":
+        pytest.skip("reads back a written table")
+    plan = _plan(E.queries()[name](spark, SF_SMALL))
+    assert "CartesianProduct" not in plan
+    assert "BroadcastNestedLoopJoin" not in plan
+
+
+def test_scan_pruning_and_pushdown(spark):
+    plan = _plan(E.queries()["history_projection"](spark, SF_SMALL))
+    assert "PushedFilters: [IsNotNull(l_shipdate), GreaterThanOrEqual(l_shipdate," in plan
+    assert "l_discount" not in plan and "l_tax" not in plan     # pruned columns
+
+
+def test_dedupe_limits_before_the_shuffle(spark):
+    plan = _plan(E.queries()["deduped_orders"](spark, SF_SMALL))
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_validity_join_is_an_equi_join_on_key_and_bucket(spark):
+    plan = _plan(E.queries()["validity_price_open"](spark, SF_SMALL))
+    join_lines = [ln for ln in plan.splitlines() if "Left keys" in ln or "Right keys" in ln]
+    assert any("__vj_bucket" in ln for ln in join_lines)
