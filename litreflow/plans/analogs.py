@@ -39,6 +39,7 @@ from litreflow.operators import (
     validity_join,
 )
 from litreflow.sources import DriverTables
+from litreflow.sources.tables import tables_for
 
 # --- fixed values of the benchmark mapping ---------------------------------
 NIL_KEY = -1                       # integer stand-in for the nil GUID
@@ -52,7 +53,7 @@ VALIDITY_BUCKET_DAYS = 60
 
 
 def _t(spark: SparkSession, sf_dir: str) -> DriverTables:
-    return DriverTables(spark, sf_dir)
+    return tables_for(spark, sf_dir)
 
 
 # Projection of the transaction history from a date on.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from litreflow.checks import Check, run_checks
-from litreflow.sources import DriverTables
+from litreflow.sources.tables import tables_for
 
 # --- fixed values: the checks run on the benchmark tables ------------------
 BENCH_CHECKS = [
@@ -24,7 +24,7 @@ BENCH_CHECKS = [
 
 
 def checks_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = DriverTables(spark, sf_dir)
+    t = tables_for(spark, sf_dir)
     frames = {name: t.get(name) for name in
               ("orders", "lineitem", "customer", "labels", "documents")}
     return run_checks(BENCH_CHECKS, frames)

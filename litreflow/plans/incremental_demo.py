@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from litreflow.plans.analogs import _daily_transactions, daily_quantity_from
 from litreflow.session import shared_dir
 from litreflow.sinks.incremental import merge_by_partition_rewrite
-from litreflow.sources import DriverTables
+from litreflow.sources.tables import tables_for
 
 SPLIT_DATE = "1998-06-01"   # fixed value: where the first source snapshot ends
 KEYS = ["ship_date", "customer_id", "provider_id", "supply_site_id"]
@@ -27,7 +27,7 @@ OUTPUT = ["ship_date", "customer_id", "provider_id", "supply_site_id", "depot",
 
 def daily_quantity_incremental(spark: SparkSession, sf_dir: str,
                                target_path: str | None = None) -> DataFrame:
-    t = DriverTables(spark, sf_dir)
+    t = tables_for(spark, sf_dir)
     tx_all = _daily_transactions(t)
     target = target_path or f"{shared_dir(spark)}/litreflow-marts/daily_quantity/{uuid.uuid4().hex}"
 

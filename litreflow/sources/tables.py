@@ -35,3 +35,17 @@ class DriverTables:
         if name.startswith("_") or name not in DRIVER_TABLES:
             raise AttributeError(name)
         return self.get(name)
+
+
+_SHARED: dict[tuple[int, str], DriverTables] = {}
+
+
+def tables_for(spark: SparkSession, sf_dir: str) -> DriverTables:
+    """One ``DriverTables`` per session and folder, so composed queries
+    share their scans' metadata (each Parquet read lists files and reads a
+    footer on the driver)."""
+    key = (id(spark), sf_dir.rstrip("/"))
+    t = _SHARED.get(key)
+    if t is None or t.spark is not spark:
+        t = _SHARED[key] = DriverTables(spark, sf_dir)
+    return t
