@@ -209,14 +209,16 @@ def enriched_fact(spark, sf_dir) -> DataFrame:
     funder = s.select(F.col("s_suppkey").alias("funder_key"), F.col("s_name").alias("funder_name"))
     fact = li.withColumn("ship_date", F.to_date("l_shipdate")).withColumn(
         "funder_id", F.when(F.col("l_returnflag") == "N", F.col("l_suppkey")))
+    # Joins grouped by key: the customer and the customer's newest order
+    # share one partitioning of the fact (one shuffle at scale, not two).
     j = (fact
          .join(o, F.col("l_orderkey") == F.col("o_orderkey"), "left")
          .join(c, F.col("o_custkey") == F.col("c_custkey"), "left")
+         .join(latest, F.col("o_custkey") == F.col("ncp_custkey"), "left")
          .join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left")
          .join(r, F.col("n_regionkey") == F.col("r_regionkey"), "left")
          .join(funder, F.col("funder_id") == F.col("funder_key"), "left")
          .join(p, F.col("l_partkey") == F.col("p_partkey"), "left")
-         .join(latest, F.col("o_custkey") == F.col("ncp_custkey"), "left")
          .join(promos, (F.col("ship_date") == F.col("promo_date"))
                & (F.col("l_suppkey") == F.col("promo_supp"))
                & (F.col("l_partkey") == F.col("promo_part")), "left"))
@@ -540,14 +542,16 @@ def buyer_orders(spark, sf_dir) -> DataFrame:
                           F.col("n_regionkey").alias("transporter_id"))
     tr = t.region.select("r_regionkey", F.col("r_name").alias("transporter"))
     pd = payment_dates(spark, sf_dir).select(F.col("order_key").alias("pd_key"), "payment_date")
+    # All order-keyed sides first (they are aggregated or ranked per order,
+    # so they are already partitioned by it), then the lookups by supplier.
     j = (bo.join(pd, F.col("order_key") == F.col("pd_key"), "left")
          .join(load, F.col("order_key") == F.col("l_orderkey"), "left")
-         .join(supp, F.col("load_supp") == F.col("s_suppkey"), "left")
-         .join(nat, F.col("s_nationkey") == F.col("n_nationkey"), "left")
          .join(_rebate_prices(t, bo, False), F.col("order_key") == F.col("collection_price_key"),
                "left")
          .join(_rebate_prices(t, bo, True), F.col("order_key") == F.col("delivery_price_key"),
                "left")
+         .join(supp, F.col("load_supp") == F.col("s_suppkey"), "left")
+         .join(nat, F.col("s_nationkey") == F.col("n_nationkey"), "left")
          .join(tr, F.col("transporter_id") == F.col("r_regionkey"), "left"))
     litres = F.col("final_litres")
     units_l = litres.cast("long")
