@@ -11,6 +11,7 @@ from litreflow.functions.scalar import (
     snap_to_day,
     substitute_key,
     typed_null,
+    waterfall,
     zero_fallback,
 )
 
@@ -24,5 +25,6 @@ __all__ = [
     "snap_to_day",
     "substitute_key",
     "typed_null",
+    "waterfall",
     "zero_fallback",
 ]

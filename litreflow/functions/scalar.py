@@ -61,6 +61,12 @@ def first_non_null(*cols) -> Column:
     return F.coalesce(*[_c(c) for c in cols])
 
 
+def waterfall(*cols, scale: int = 4) -> Column:
+    """``ROUND(COALESCE(c1, c2, ...), scale)``: the first price that is
+    known, rounded once (computed once even when shown twice)."""
+    return F.round(first_non_null(*cols), scale)
+
+
 def flag_is_false(col) -> Column:
     """``flag = False``: NULL flags are dropped like in SQL."""
     return _c(col) == F.lit(False)
