@@ -43,9 +43,10 @@ def latest_per_key(df: DataFrame, keys: Sequence[str | Column],
     if tie_break is None:
         tie_break = default_tie_break(df, key_names)
     w = Window.partitionBy(*keys).orderBy(*order, *tie_break)
-    return (df.withColumn(_RN, F.row_number().over(w))
+    cols = df.columns
+    return (df.select("*", F.row_number().over(w).alias(_RN))
             .filter(F.col(_RN) == 1)
-            .drop(_RN))
+            .select(*cols))
 
 
 def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

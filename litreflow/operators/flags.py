@@ -26,8 +26,8 @@ def existence_flag(left: DataFrame, right: DataFrame, on: Sequence,
                        F.lit(True).alias(marker))
     cond = [left[lk] == keys[f"__ef_k{i}"] for i, (lk, _) in enumerate(pairs)]
     out = left.join(keys, cond, "left")
-    return (out.withColumn(name, F.coalesce(F.col(marker), F.lit(False)))
-            .drop(marker, *[f"__ef_k{i}" for i in range(len(pairs))]))
+    return out.select(*[left[c] for c in left.columns],
+                      F.coalesce(F.col(marker), F.lit(False)).alias(name))
 
 
 def union_with_typed_nulls(branches: Sequence[DataFrame],
