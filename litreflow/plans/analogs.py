@@ -24,7 +24,6 @@ from litreflow.functions import (
     half_up_ratio,
     is_after,
     substitute_key,
-    typed_null,
     zero_fallback,
 )
 from litreflow.functions.scalar import end_of_snapped_day, snap_to_day

@@ -17,8 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -27,7 +26,7 @@ from litreflow.sinks.incremental import merge_by_partition_rewrite
 
 
 def start_day_rebuild_stream(spark: SparkSession, source_path: str, schema: StructType,
-                             day_of: Callable[[DataFrame], "F.Column"],
+                             day_of: Callable[[DataFrame], Column],
                              rebuild: Callable[[list], DataFrame],
                              target_path: str, keys: Sequence[str], mark_column: str,
                              name: str, cluster_by: Sequence[str] = (),

@@ -133,3 +133,32 @@ def test_samples(spark):
     first = samples.my_first_model(spark)
     assert sorted(first.collect(), key=lambda r: (r.id is None, r.id)) == [(1,), (None,)]
     assert samples.my_second_model(first).collect() == [(1,)]
+
+
+MARTS = {
+    "M01": lambda s: fuelcard.fuel_transactions_all_time(s),
+    "M02": lambda s: fuelcard.orders_with_drivers(s),
+    "M03": lambda s: fuelcard.active_virtual_cards(s, as_of="2025-03-01 00:00:00"),
+    "M04": lambda s: fuelcard.live_vehicles(s),
+    "M05": lambda s: fuelcard.data_tool(s),
+    "M06": lambda s: fuelcard.precalculated_transactions(s),
+    "M07": lambda s: wholesale.payment_dates(s),
+    "M08": lambda s: wholesale.buyer_orders(s),
+    "M09": lambda s: wholesale.loads(s),
+    "M10": lambda s: wholesale.supplier_orders(s),
+    "M11": lambda s: wholesale.supplier_orders_with_buyer_orders(s),
+    "M12": lambda s: wholesale.wholesale_data(s),
+    "M13": lambda s: fuelcard.supplier_data(s),
+    "M14": lambda s: fuelcard.supplier_manager(s),
+}
+
+
+@pytest.mark.parametrize("mart", sorted(MARTS))
+def test_mart_plans_have_no_cross_products(spark, src, mart):
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        MARTS[mart](src).explain(mode="formatted")
+    plan = buf.getvalue()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
