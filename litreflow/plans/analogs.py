@@ -78,11 +78,17 @@ def greater_of_capacity(spark, sf_dir) -> DataFrame:
                         greater_or_second("calculated", "configured")))
 
 
-def _daily_transactions(t: DriverTables) -> DataFrame:
+def _daily_transactions(t: DriverTables, since=None, until=None) -> DataFrame:
     """lineitem as fuel transactions: the order's customer is the account,
     the supplier is the site; the provider is the supplier on 'F' lines
-    (NULL for supplier 0) and the nil key otherwise."""
+    (NULL for supplier 0) and the nil key otherwise. ``since``/``until``
+    keep ship days in [since, until), filtered on the raw timestamp so the
+    bounds reach the Parquet scan."""
     li, o = t.lineitem, t.orders
+    if since is not None:
+        li = li.filter(F.col("l_shipdate") >= F.lit(since).cast("date").cast("timestamp_ntz"))
+    if until is not None:
+        li = li.filter(F.col("l_shipdate") < F.lit(until).cast("date").cast("timestamp_ntz"))
     provider = (F.when(F.col("l_linestatus") == "F",
                        F.when(F.col("l_suppkey") != 0, F.col("l_suppkey")))
                 .otherwise(F.lit(NIL_KEY).cast("long")))

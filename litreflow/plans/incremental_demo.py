@@ -12,7 +12,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from litreflow.plans.analogs import _daily_transactions, daily_quantity_from
 from litreflow.session import shared_dir
@@ -28,16 +27,12 @@ OUTPUT = ["ship_date", "customer_id", "provider_id", "supply_site_id", "depot",
 def daily_quantity_incremental(spark: SparkSession, sf_dir: str,
                                target_path: str | None = None) -> DataFrame:
     t = tables_for(spark, sf_dir)
-    tx_all = _daily_transactions(t)
     target = target_path or f"{shared_dir(spark)}/litreflow-marts/daily_quantity/{uuid.uuid4().hex}"
 
     def source_until(split):
         def build(mark):
-            tx = tx_all if split is None else tx_all.filter(
-                F.col("ship_date") < F.lit(split).cast("date"))
-            if mark is not None:   # incremental filter on the source: prunes the scan
-                tx = tx.filter(F.col("ship_date") >= F.lit(mark))
-            return daily_quantity_from(tx, t)
+            # the incremental filter is applied to the source scan
+            return daily_quantity_from(_daily_transactions(t, since=mark, until=split), t)
         return build
 
     kw = dict(keys=KEYS, mark_column="ship_date", cluster_by=["customer_id", "supply_site_id"])

@@ -76,3 +76,11 @@ def test_validity_join_is_an_equi_join_on_key_and_bucket(spark):
     plan = _plan(E.queries()["validity_price_open"](spark, SF_SMALL))
     join_lines = [ln for ln in plan.splitlines() if "Left keys" in ln or "Right keys" in ln]
     assert any("__vj_bucket" in ln for ln in join_lines)
+
+
+def test_incremental_bound_reaches_the_scan(spark):
+    from litreflow.plans.analogs import _daily_transactions, daily_quantity_from
+    from litreflow.sources.tables import tables_for
+    t = tables_for(spark, SF_SMALL)
+    plan = _plan(daily_quantity_from(_daily_transactions(t, since="1998-06-01"), t))
+    assert "GreaterThanOrEqual(l_shipdate,1998-06-01T00:00)" in plan
