@@ -131,3 +131,15 @@ def test_seed_reads_header_only_csv(spark):
         fh.write("SupplierOrder,monday_item_id,monday_name,SentToMonday,created_at,updated_at\n")
     df = read_seed(spark, path)
     assert df.count() == 0 and df.columns[0] == "SupplierOrder"
+
+
+def test_empty_target_is_a_first_run(spark):
+    path = _target(spark)
+    schema = "Date date, k string, v double, month string"
+    spark.createDataFrame([], schema).write.mode("overwrite").partitionBy("month").parquet(path)
+    rows = [(dt.date(2025, 1, 1), "k", 1.0)]
+    res = merge_by_partition_rewrite(
+        spark, lambda m: spark.createDataFrame(rows, "Date date, k string, v double"), path,
+        ["Date", "k"], "Date")
+    assert res.mode == "full"
+    assert [(r.k, r.v) for r in spark.read.parquet(path).collect()] == [("k", 1.0)]
