@@ -143,3 +143,17 @@ def test_empty_target_is_a_first_run(spark):
         ["Date", "k"], "Date")
     assert res.mode == "full"
     assert [(r.k, r.v) for r in spark.read.parquet(path).collect()] == [("k", 1.0)]
+
+
+def test_full_build_runs_every_mart_and_check(spark):
+    from litreflow.plans.job import MARTS
+    src = registry(spark)
+    root = tempfile.mkdtemp(prefix="litreflow-job-")
+    report = run_tagged(spark, src, root, tag=None, env="prod", default_db="analytics")
+    rows = report.collect()
+    assert len(rows) == sum(len(m.checks) for m in MARTS)
+    got = {(r.model, r.column_name, r.check_name): r for r in rows}
+    # the loads fan-out repeats LoadName by design: the declared unique check fails
+    assert not got[("vw_nto_load", "LoadName", "unique")].passed
+    assert got[("nto_wholesale_data", "AdhocFixedVolumeDealID", "unique")].passed
+    assert got[("tfn_supplier_manager", "SupplySiteID", "relationships")].passed
