@@ -7,6 +7,10 @@
 * AQE on: coalesces small shuffle partitions, splits skewed join partitions,
   and turns sort-merge joins into broadcast joins once a side's measured size
   is under the threshold.
+* Broadcast bounds: a side planned from estimates (file sizes) is broadcast
+  only under 10 MB; a side whose size AQE has *measured* after its shuffle
+  stage may be broadcast up to 64 MB. A measured size is a proven bound, an
+  estimate is not; anything larger stays a sort-merge join.
 * Dynamic partition overwrite: an incremental merge rewrites only the
   partitions it touches.
 """
@@ -25,6 +29,8 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "10m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
