@@ -112,6 +112,12 @@ def test_daily_run_job(spark):
     assert spark.read.parquet(f"{root}/scratch/data_tool").count() == 4
     assert spark.read.parquet(f"{root}/scratch/tfn_orders_with_drivers") \
         .filter(F.col("OrderNumberTitle") == "ON1").count() == 1
+    # second scheduled run: both incremental marts take their marks and
+    # rebuild the boundary; nothing is duplicated (NULL-safe keys)
+    run_tagged(spark, src, root, tag="daily_run", env="dev", default_db="scratch")
+    orders = spark.read.parquet(f"{root}/scratch/tfn_orders_with_drivers")
+    assert orders.count() == 2
+    assert spark.read.parquet(f"{root}/scratch/data_tool").count() == 4
 
 
 def test_table_mart_partitioned_by_day(spark):
