@@ -9,14 +9,17 @@ change nothing -- and then read back. The result equals the full load.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from litreflow.plans.analogs import _daily_transactions, daily_quantity_from
 from litreflow.session import shared_dir
 from litreflow.sinks.incremental import merge_by_partition_rewrite
 from litreflow.sources.tables import tables_for
+from litreflow.streaming import start_day_rebuild_stream
 
 SPLIT_DATE = "1998-06-01"   # fixed value: where the first source snapshot ends
 KEYS = ["ship_date", "customer_id", "provider_id", "supply_site_id"]
@@ -40,3 +43,32 @@ def daily_quantity_incremental(spark: SparkSession, sf_dir: str,
     merge_by_partition_rewrite(spark, source_until(None), target, **kw)
     merge_by_partition_rewrite(spark, source_until(None), target, **kw)
     return spark.read.parquet(target).select(*OUTPUT)
+
+
+def daily_quantity_stream(spark: SparkSession, sf_dir: str,
+                          target_path: str | None = None) -> DataFrame:
+    """Daily litres kept current from a file stream of transactions.
+
+    lineitem is read as a Structured Streaming file source; each
+    micro-batch names the ship days it touched, those days are rebuilt from
+    the whole source (bounds on the raw timestamp reach the scan) and merged
+    into the month-partitioned target by key. The target, read back, equals
+    the full load.
+    """
+    t = tables_for(spark, sf_dir)
+    base = shared_dir(spark)
+    run = uuid.uuid4().hex
+    target = target_path or f"{base}/litreflow-marts/daily_quantity_stream/{run}"
+
+    def rebuild(days):
+        lo, hi = min(days), max(days) + dt.timedelta(days=1)
+        tx = _daily_transactions(t, since=lo, until=hi).filter(F.col("ship_date").isin(days))
+        return daily_quantity_from(tx, t)
+
+    q = start_day_rebuild_stream(
+        spark, f"{t.sf_dir}/lineitem.parquet*", t.lineitem.schema,
+        lambda df: F.to_date(df["l_shipdate"]), rebuild, target, KEYS, "ship_date",
+        name=f"daily_quantity_{run[:8]}", cluster_by=["customer_id", "supply_site_id"],
+        checkpoint=f"{base}/litreflow-streams/{run}", reader_options={"basePath": t.sf_dir})
+    q.awaitTermination()
+    return spark.read.parquet(target).select(*OUTPUT)

@@ -31,14 +31,16 @@ def start_day_rebuild_stream(spark: SparkSession, source_path: str, schema: Stru
                              target_path: str, keys: Sequence[str], mark_column: str,
                              name: str, cluster_by: Sequence[str] = (),
                              available_now: bool = True,
-                             checkpoint: str | None = None) -> StreamingQuery:
+                             checkpoint: str | None = None,
+                             reader_options: dict | None = None) -> StreamingQuery:
     """Start the stream.
 
     ``day_of(df)`` gives the day of a source row; ``rebuild(days)`` returns
     the mart's rows for those days computed from the whole source.
     """
     checkpoint = checkpoint or f"{shared_dir(spark)}/litreflow-streams/{name}"
-    stream = spark.readStream.schema(schema).parquet(source_path)
+    stream = spark.readStream.schema(schema).options(**(reader_options or {})) \
+        .parquet(source_path)
 
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
         # distinct days of one micro-batch: a short list of dates

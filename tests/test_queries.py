@@ -54,7 +54,7 @@ def _plan(df) -> str:
 
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_no_cartesian_or_nested_loop_join(spark, name):
-    if name == "daily_quantity_incremental":
+    if name in ("daily_quantity_incremental", "daily_quantity_stream"):
         pytest.skip("reads back a written table")
     plan = _plan(E.queries()[name](spark, SF_SMALL))
     assert "CartesianProduct" not in plan
