@@ -453,6 +453,21 @@ def supplier_manager(spark, sf_dir) -> DataFrame:
                     F.col("s_nationkey").alias("depot_region"))
 
 
+# One row per account with a manager. customer as account profiles:
+# the account is the market segment (five accounts: every group is hot), the
+# manager is the customer's name, empty ('') for a negative balance and then
+# dropped (NULLIF ... IS NOT NULL). The order is the account itself, so all
+# rows of a group tie; the remaining columns break the tie.
+def account_manager(spark, sf_dir) -> DataFrame:
+    c = _t(spark, sf_dir).customer
+    manager = F.nullif(F.when(F.col("c_acctbal") < 0, F.lit("")).otherwise(F.col("c_name")),
+                       F.lit(""))
+    profiles = (c.filter(manager.isNotNull())
+                .select(F.col("c_mktsegment").alias("account"),
+                        F.col("c_custkey").alias("internal_id"), manager.alias("account_manager")))
+    return latest_per_key(profiles, ["account"], [F.col("account").asc()])
+
+
 # Existence flag of a label per document.
 def label_flag(spark, sf_dir) -> DataFrame:
     t = _t(spark, sf_dir)
