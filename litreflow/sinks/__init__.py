@@ -3,6 +3,7 @@
 from litreflow.sinks.incremental import MergeResult, merge_by_partition_rewrite, month_of
 from litreflow.sinks.writers import (
     database_for,
+    register_table,
     write_day_partitioned,
     write_table,
     write_view,
@@ -13,6 +14,7 @@ __all__ = [
     "database_for",
     "merge_by_partition_rewrite",
     "month_of",
+    "register_table",
     "write_day_partitioned",
     "write_table",
     "write_view",

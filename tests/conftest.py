@@ -13,7 +13,9 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[*]", app="litreflow-tests", shuffle_partitions=8)
+    import tempfile
+    s = build_session("local[*]", app="litreflow-tests", shuffle_partitions=8,
+                      extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="litreflow-wh-")})
     yield s
     s.stop()
 

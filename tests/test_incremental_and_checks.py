@@ -163,3 +163,12 @@ def test_full_build_runs_every_mart_and_check(spark):
     assert not got[("vw_nto_load", "LoadName", "unique")].passed
     assert got[("nto_wholesale_data", "AdhocFixedVolumeDealID", "unique")].passed
     assert got[("tfn_supplier_manager", "SupplySiteID", "relationships")].passed
+
+
+def test_written_marts_are_catalog_tables(spark):
+    src = registry(spark)
+    root = tempfile.mkdtemp(prefix="litreflow-job-")
+    run_tagged(spark, src, root, names=["data_tool", "tfn_precalculated_transactions"],
+               env="prod", default_db="analytics", catalog=True)
+    assert spark.table("tfn_data_historical.data_tool").count() == 4
+    assert spark.table("analytics.tfn_precalculated_transactions").count() == 2
