@@ -80,8 +80,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
     On a cluster this is ``spark.checkpoint.dir`` as the deployment sets it
-    (a distributed file system path every executor can reach). Only when it
-    is unset -- local runs and tests -- a folder is created and registered.
+    (a distributed file system path every executor can reach); a cluster
+    session without it is an error. Only for a local master (tests, local
+    runs) a folder is created and registered when the setting is unset.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
@@ -90,6 +91,11 @@ def shared_dir(spark: SparkSession) -> str:
         except Exception:  # pragma: no cover - older API surface
             current = None
     if not current:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
+            # a machine-local folder is not shared by the executors
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can "
+                               "reach (e.g. on the cluster's distributed file system)")
         current = tempfile.mkdtemp(prefix="litreflow-ckpt-")
         try:
             spark.sparkContext.setCheckpointDir(current)
