@@ -122,9 +122,9 @@ def test_validity_join_matches_brute_force_with_hot_key(spark):
     points.append((999, "hot", None))
     pdf = spark.createDataFrame(points, "pid int, pk string, at timestamp_ntz")
     bdf = spark.createDataFrame(bands, "bid int, bk string, f timestamp_ntz, t timestamp_ntz")
-    for inclusive in (False, True):
+    for inclusive, width in ((False, 5), (True, "auto")):
         out = validity_join(pdf, bdf, [("pk", "bk")], at="at", lower=F.col("f"), upper=F.col("t"),
-                            is_open=_open("t"), open_inclusive=inclusive, bucket_days=5)
+                            is_open=_open("t"), open_inclusive=inclusive, bucket_days=width)
         got = [(r.pid, r.bid) for r in out.collect()]
         assert len(got) == len(set(got))          # each match exactly once
         assert set(got) == _brute(points, bands, inclusive)
