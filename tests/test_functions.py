@@ -68,3 +68,45 @@ def test_calendar_day_diff_across_midnight(spark):
                                "a timestamp_ntz, b timestamp_ntz")
     assert df.select(calendar_day_diff("a", "b")).first()[0] == 1
     assert df.select(F.datediff("a", "b")).first()[0] == 1
+
+
+def test_half_up_ratio_matches_exact_decimal_rounding(spark):
+    import random
+    from decimal import ROUND_HALF_UP
+    rnd = random.Random(5)
+    pairs = []
+    for _ in range(3000):
+        d = rnd.choice([1, 2, 3, 4, 5, 7, 8, 16, 20, 40, 125, 365000000, rnd.randrange(1, 10**6)])
+        n = rnd.randrange(-10**10, 10**10)
+        pairs.append((n, d if rnd.random() < 0.9 else -d))
+    pairs += [(5, 10), (-5, 10), (15, 1000), (25, 10000), (1, 2000)]   # exact ties
+    df = spark.createDataFrame(pairs, "n long, d long")
+    for scale in (0, 2, 3, 4):
+        got = [r[0] for r in df.select(half_up_ratio("n", "d", scale)).collect()]
+        q = Decimal(1).scaleb(-scale)
+        want = [(Decimal(n) / Decimal(d)).quantize(q, rounding=ROUND_HALF_UP) for n, d in pairs]
+        assert got == want
+
+
+def test_case_helpers_match_sql_semantics_on_random_rows(spark):
+    import random
+    rnd = random.Random(9)
+    vals = [None, 0.0, -1.5, 2.0, 3.0]
+    keys = [None, NIL_GUID, "p1", "p2"]
+    rows = [(rnd.choice(vals), rnd.choice(vals), rnd.choice(vals), rnd.choice(keys), "c")
+            for _ in range(2000)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, sp string, cu string")
+    got = df.select(greater_or_second("a", "b"), zero_fallback("a", "b", "c"),
+                    substitute_key("sp", "cu")).collect()
+
+    def gt(a, b):          # CASE WHEN a > b THEN a ELSE b END (NULL comparison -> ELSE)
+        return a if (a is not None and b is not None and a > b) else b
+
+    def zf(*xs):           # CASE WHEN x = 0 THEN <rest> ELSE x END
+        return xs[0] if len(xs) == 1 or xs[0] is None or xs[0] != 0 else zf(*xs[1:])
+
+    def sk(sp, cu):        # CASE WHEN sp <> nil THEN sp ELSE cu END
+        return sp if (sp is not None and sp != NIL_GUID) else cu
+
+    want = [(gt(a, b), zf(a, b, c), sk(sp, cu)) for a, b, c, sp, cu in rows]
+    assert [tuple(r) for r in got] == want
