@@ -162,3 +162,8 @@ def test_mart_plans_have_no_cross_products(spark, src, mart):
         MARTS[mart](src).explain(mode="formatted")
     plan = buf.getvalue()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_m07_ordered_for_presentation(src):
+    rows = wholesale.payment_dates(src, ordered=True).collect()
+    assert [r.OrderNumber for r in rows] == sorted(r.OrderNumber for r in rows)
