@@ -18,6 +18,8 @@ BENCH_CHECKS = [
     Check("lineitem", "l_quantity", "not_null"),
     Check("lineitem", "l_discount", "accepted_range", "warn", min_value=0.0, max_value=0.05),
     Check("customer", "c_acctbal", "accepted_range", "warn", min_value=0),
+    Check("lineitem", "l_shipdate", "accepted_range", "error", min_value="1995-01-01",
+          max_value="2000-12-31"),
     Check("labels", "doc_id", "relationships", parent="documents", parent_column="doc_id"),
 ]
 # --- end of fixed values ----------------------------------------------------
