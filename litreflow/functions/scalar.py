@@ -67,6 +67,20 @@ def waterfall(*cols, scale: int = 4) -> Column:
     return F.round(first_non_null(*cols), scale)
 
 
+def spread_nulls(key, *salt, buckets: int = 256) -> Column:
+    """Join key for a left join whose left key is often NULL.
+
+    A NULL key never matches, but all NULL rows hash to one shuffle
+    partition. Here a NULL becomes one of ``buckets`` marker strings chosen
+    by a hash of ``salt`` (row columns, so a retried task gives the same
+    value). Use with ``& key.isNotNull()`` in the condition: a marker then
+    cannot match anything, and results equal the plain join.
+    """
+    k = _c(key)
+    bucket = F.pmod(F.xxhash64(*[_c(c) for c in salt]), F.lit(buckets))
+    return F.coalesce(k.cast("string"), F.concat(F.lit("\u0000null:"), bucket.cast("string")))
+
+
 def flag_is_false(col) -> Column:
     """``flag = False``: NULL flags are dropped like in SQL."""
     return _c(col) == F.lit(False)

@@ -63,3 +63,19 @@ def test_pivot_and_ledger_hot_key(spark, skewed):
         s = sums.setdefault(k, [0.0, 0.0])
         s[0 if cat == "A" else 1] += v
     assert {r.k: [r.sold, r.bought] for r in led.collect()} == sums
+
+
+def test_spread_nulls_left_join_equals_plain_join(spark):
+    from litreflow.functions import spread_nulls
+    rnd = random.Random(3)
+    left_rows = [(i, None if i % 3 == 0 else f"a{rnd.randrange(50)}") for i in range(3000)]
+    left = spark.createDataFrame(left_rows, "id int, k string")
+    right = spark.createDataFrame([(f"a{j}", j) for j in range(40)], "rk string, v int")
+    plain = left.join(right, F.col("k") == F.col("rk"), "left")
+    spread = left.join(right, (spread_nulls("k", "id") == F.col("rk")) & F.col("k").isNotNull(),
+                       "left")
+    canon = lambda df: sorted(tuple(r) for r in df.select("id", "k", "rk", "v").collect())
+    assert canon(spread) == canon(plain)
+    # the NULL keys are spread over many shuffle partitions, not one
+    marks = left.filter(F.col("k").isNull()).select(spread_nulls("k", "id").alias("m"))
+    assert marks.distinct().count() > 100
