@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe
+from . import bpe, simhash, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op7_simhash": simhash.op7_simhash,
         "op9_byte_bpe": bpe.op9_byte_bpe,
+        "op10_toxicity": toxicity.op10_toxicity,
     }
 
 
