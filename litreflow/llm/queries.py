@@ -6,16 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, simhash, toxicity
+from . import bpe, decontam, simhash, substring, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_decontamination": decontam.op2_decontamination,
         "op7_simhash": simhash.op7_simhash,
+        "op8_substring": substring.op8_substring,
         "op9_byte_bpe": bpe.op9_byte_bpe,
         "op10_toxicity": toxicity.op10_toxicity,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op2_decontamination": decontam.ORACLE,
+    }
