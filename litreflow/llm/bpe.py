@@ -20,6 +20,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -260,12 +261,8 @@ def _vocabulary(name: str) -> Vocabulary:
 
 def encode_texts(docs: list[str], vocabulary: str = VOCABULARY
                  ) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Ids of every text and, for each id, the byte of the text it starts at."""
+    """Ids of every text and the bytes of the text at which its slices start."""
     vocab = _vocabulary(vocabulary)
-    if not hasattr(vocab, "lengths"):
-        vocab.lengths = np.zeros(max(vocab.bytes_of) + 1, dtype=np.int32)
-        for i, b in vocab.bytes_of.items():
-            vocab.lengths[i] = len(b)
     ids, offsets = [], []
     for a, b in char_groups(docs):
         group = docs[a:b]
@@ -281,16 +278,15 @@ def encode_texts(docs: list[str], vocabulary: str = VOCABULARY
             else:
                 width = 1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000)
                 at = (np.cumsum(width) - width)[starts]
+            at = at.astype(np.int32)
             cuts = at.tolist() + [len(raw)]
             packed = vocab.packed([raw[x:y] for x, y in zip(cuts, cuts[1:])])
             bounds = np.searchsorted(starts, np.concatenate([[0], ends])).tolist()
         else:
-            packed, bounds = [], [0] * (len(group) + 1)
+            packed, bounds, at = [], [0] * (len(group) + 1), np.zeros(0, dtype=np.int32)
         for x, y in zip(bounds, bounds[1:]):
-            got = np.frombuffer(b"".join(packed[x:y]), dtype=np.int32)
-            ids.append(got)
-            sizes = vocab.lengths[got]
-            offsets.append(np.cumsum(sizes, dtype=np.int32) - sizes)
+            ids.append(np.frombuffer(b"".join(packed[x:y]), dtype=np.int32))
+            offsets.append(at[x:y] - at[x] if y > x else at[:0])
     return ids, offsets
 
 
@@ -301,8 +297,8 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
 
 
 def encode(df: DataFrame, text: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
-    """Every column of ``df`` plus ``ids`` and ``offsets`` (byte at which each
-    id's piece starts in the UTF-8 text)."""
+    """Every column of ``df`` plus ``ids`` and ``offsets`` (bytes at which the
+    slices start in the UTF-8 text)."""
     keep = [c for c in df.columns if c not in ("ids", "offsets")]
     return add_columns(df, [text], "ids array<int>, offsets array<int>",
                        lambda col: [_lists(x) for x in encode_texts(texts(col), vocabulary)], keep)
@@ -314,15 +310,13 @@ def decode(df: DataFrame, ids: str = "ids", vocabulary: str = VOCABULARY) -> Dat
     def run(col: pa.Array) -> list[pa.Array]:
         piece = _vocabulary(vocabulary).bytes_of.__getitem__
         flat = col.flatten().to_numpy(zero_copy_only=False)
-        sizes = np.array([0 if n is None else n
-                          for n in pa.compute.list_value_length(col).to_pylist()])
+        sizes = [n or 0 for n in pc.list_value_length(col).to_pylist()]
         out, at = [], 0
-        for n in sizes.tolist():
+        for n in sizes:
             out.append(b"".join(map(piece, flat[at : at + n].tolist())))
             at += n
         return [pa.array(out, pa.binary())]
 
-    import pyarrow.compute  # noqa: F401  (pa.compute on the executors)
     return add_columns(df, [ids], "decoded binary", run, [c for c in df.columns if c != "decoded"])
 
 

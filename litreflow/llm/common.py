@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 
 from litreflow.session import shared_dir
 
+#: Bytes of an Arrow batch that are worked on at once; rows stay whole.
+SLICE_BYTES = 4_000_000
 #: Documents are handed to numpy in groups of about this many characters, so a
 #: worker's memory does not depend on the Arrow batch size.
 GROUP_CHARS = 1_000_000
@@ -54,6 +56,14 @@ def utf8_texts(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     return [b or b"" for b in column.cast(pa.binary()).to_pylist()]
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in batches of about SLICE_BYTES."""
+    for batch in batches:
+        rows = max(1, batch.num_rows * SLICE_BYTES // max(batch.nbytes, 1))
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def add_columns(df: DataFrame, inputs: list[str], outputs: str,
                 fn: Callable[..., list[pa.Array]], pass_through: list[str]) -> DataFrame:
     """``pass_through`` columns plus what ``fn`` computes from ``inputs``.
@@ -67,11 +77,10 @@ def add_columns(df: DataFrame, inputs: list[str], outputs: str,
     names = [f.name for f in schema.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                made = fn(*[batch.column(batch.schema.get_field_index(c)) for c in inputs])
-                kept = [batch.column(batch.schema.get_field_index(c)) for c in pass_through]
-                yield pa.RecordBatch.from_arrays(kept + made, names=names)
+        for batch in slices(batches):
+            made = fn(*[batch.column(batch.schema.get_field_index(c)) for c in inputs])
+            kept = [batch.column(batch.schema.get_field_index(c)) for c in pass_through]
+            yield pa.RecordBatch.from_arrays(kept + made, names=names)
 
     return source.mapInArrow(run, schema)
 
