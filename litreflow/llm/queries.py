@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, simhash, substring, toxicity
+from . import bpe, decontam, fingerprints, langid, quality, simhash, substring, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_fingerprints": fingerprints.op1_fingerprints,
         "op2_decontamination": decontam.op2_decontamination,
+        "op3_language": langid.op3_language,
+        "op4_quality": quality.op4_quality,
         "op7_simhash": simhash.op7_simhash,
         "op8_substring": substring.op8_substring,
         "op9_byte_bpe": bpe.op9_byte_bpe,
