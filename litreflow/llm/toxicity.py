@@ -39,8 +39,10 @@ MIN_SUPPORT = 6
 #: ... which are this share of the (class-balanced) documents it occurs in.
 MIN_PRECISION = 0.9
 THRESHOLD = 0.7
-#: Lengths of mined word beginnings.
-STEMS = (4, 5, 6)
+#: Lengths of mined word beginnings, and how often one has to occur in a
+#: document to be a sign (each number is a candidate of its own).
+STEMS = (4, 5, 6, 7, 8)
+REPEATS = (1, 2, 3)
 
 #: Common insults, by language.
 LEXICONS = {
@@ -89,12 +91,18 @@ def pattern_counts(text: str, patterns: Patterns) -> dict[int, int]:
     return out
 
 
-def _word_patterns(text: str) -> set[str]:
-    words = set(WORD.findall(text.lower()))
-    out = {w for w in words if len(w) > 2 and not w.isdigit()}
-    for k in STEMS:
-        out.update(w[:k] + "*" for w in words if len(w) >= k and not w.isdigit())
-    return out
+def _signs(text: str) -> list[str]:
+    """"pattern n" for each pattern that occurs n times or more, n in REPEATS."""
+    counts: Counter = Counter()
+    for w, n in Counter(WORD.findall(text.lower())).items():
+        if w.isdigit():
+            continue
+        if len(w) > 2:
+            counts[w] += n
+        for k in STEMS:
+            if len(w) >= k:
+                counts[w[:k] + "*"] += n
+    return [f"{p} {r}" for p, n in counts.items() for r in REPEATS if n >= r]
 
 
 # -- label model -----------------------------------------------------------
@@ -104,23 +112,27 @@ class LabelModel:
     def __init__(self, prior: float) -> None:
         self.prior = min(max(prior, 0.02), 0.98)
 
-    def fit(self, votes: np.ndarray, rounds: int = 30) -> np.ndarray:
-        """Posterior probability of class 1 for every row of ``votes``."""
+    def fit(self, votes: np.ndarray, trusted: int, rounds: int = 30) -> np.ndarray:
+        """Posterior probability of class 1 for every row of ``votes``.
+
+        Voters start as right four times out of five, ``trusted`` far more
+        often. How they correlate within a class is taken from these first
+        classes; a vote then counts by the inverse of its summed correlations.
+        """
         n, m = votes.shape
+        trust = np.full(m, 1.4)
+        trust[trusted] = 4.0
         values = np.stack([votes == v for v in (-1, 0, 1)]).astype(np.float64)
-        # start: each voter is right four times out of five
-        start = (votes == 1) @ np.full(m, 1.4) - (votes == -1) @ np.full(m, 1.4)
-        post = _sigmoid(start + np.log(self.prior / (1 - self.prior)))
-        self.weight = np.ones(m)
-        for step in range(rounds):
+        odds = np.log(self.prior / (1 - self.prior))
+        post = _sigmoid(votes @ trust + odds)
+        self.correlation = self._correlations(votes, (post > 0.5).astype(np.float64))
+        self.weight = 1 / self.correlation.sum(axis=1)
+        for _ in range(rounds):
             mass = np.array([(1 - post).sum(), post.sum()])
             seen = np.stack([np.einsum("vnm,n->vm", values, q) for q in (1 - post, post)])
             given = (seen + 0.5) / (mass[:, None, None] + 1.5)  # class, value, voter
-            self.correlation = self._correlations(votes, post)
-            self.weight = 1 / self.correlation.sum(axis=1)
             ratio = np.log(given[1]) - np.log(given[0])
-            score = np.einsum("vnm,vm->n", values, ratio * self.weight)
-            new = _sigmoid(score + np.log(self.prior / (1 - self.prior)))
+            new = _sigmoid(np.einsum("vnm,vm->n", values, ratio * self.weight) + odds)
             moved = np.abs(new - post).max()
             post = new
             if moved < 1e-4:
@@ -154,15 +166,17 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 # -- classifier ------------------------------------------------------------
-def _features(counts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Per pattern: found, log count; all: log hits, log kinds, log density."""
+def _features(counts: np.ndarray, lengths: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Per pattern: found at least as often as it takes to be a sign, log count
+    beyond; of all: log hits, log kinds, log density."""
+    counts = np.maximum(counts - (least - 1), 0)
     hits = counts.sum(axis=1)
     return np.column_stack([
         counts > 0, np.log1p(counts), np.log1p(hits), np.log1p((counts > 0).sum(axis=1)),
         np.log1p(1000 * hits / np.maximum(lengths, 20)), np.ones(len(counts))]).astype(np.float64)
 
 
-def _fit_linear(x: np.ndarray, target: np.ndarray, ridge: float = 1.0, rounds: int = 25) -> np.ndarray:
+def _fit_linear(x: np.ndarray, target: np.ndarray, ridge: float = 0.2, rounds: int = 25) -> np.ndarray:
     """Ridge logistic regression on soft labels by Newton steps."""
     w = np.zeros(x.shape[1])
     penalty = np.full(x.shape[1], ridge)
@@ -180,8 +194,8 @@ def _fit_linear(x: np.ndarray, target: np.ndarray, ridge: float = 1.0, rounds: i
 class Model:
     """Patterns and weights; small, so it travels with the tasks."""
 
-    def __init__(self, patterns: Patterns, weights: np.ndarray) -> None:
-        self.patterns, self.weights = patterns, weights
+    def __init__(self, patterns: Patterns, least: np.ndarray, weights: np.ndarray) -> None:
+        self.patterns, self.least, self.weights = patterns, least, weights
 
     def counts(self, docs: list[str]) -> tuple[np.ndarray, np.ndarray]:
         out = np.zeros((len(docs), len(self.patterns)), dtype=np.float64)
@@ -193,7 +207,7 @@ class Model:
     def scores(self, docs: list[str]) -> np.ndarray:
         if not docs:
             return np.zeros(0)
-        return _sigmoid(_features(*self.counts(docs)) @ self.weights)
+        return _sigmoid(_features(*self.counts(docs), self.least) @ self.weights)
 
 
 # -- training --------------------------------------------------------------
@@ -210,13 +224,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int) -> DataF
 
 
 def _document_counts(sample: DataFrame) -> DataFrame:
-    """In how many toxic and clean sample documents each pattern occurs."""
+    """In how many toxic and clean sample documents each sign occurs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         toxic: Counter = Counter()
         clean: Counter = Counter()
         for batch in batches:
             for text, label in zip(texts(batch.column(0)), batch.column(1).to_pylist()):
-                (toxic if label else clean).update(_word_patterns(text))
+                (toxic if label else clean).update(_signs(text))
         names = list(toxic)  # what is in no toxic document is no candidate
         for a in range(0, len(names), 50_000):
             part = names[a : a + 50_000]
@@ -256,46 +270,53 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS)
     sample = checkpointed(labelled_sample(docs, labels, per_class))
     sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
-    mined: list[str] = []
+    signs: list[tuple[str, int]] = []
     if n1 and n0:
         share = F.col("toxic") / n1 / (F.col("toxic") / n1 + F.col("clean") / n0)
-        mined = [r["pattern"] for r in _document_counts(sample)
+        signs = [(p, int(n)) for p, n in (r["pattern"].rsplit(" ", 1) for r in _document_counts(sample)
                  .filter((F.col("toxic") >= MIN_SUPPORT) & (share >= MIN_PRECISION))
                  .orderBy(F.desc("toxic"), F.length("pattern"), "pattern").limit(MAX_CANDIDATES)
-                 .collect()]
-    candidates = Model(tuple(mined + [w for w in words if w not in mined]), np.zeros(0))
+                 .collect())]
+    candidates = tuple(dict.fromkeys([p for p, _ in signs] + words))
 
     # the sample's pattern counts: 2 * per_class rows of sparse counts at most
     def run(text: pa.Array) -> list[pa.Array]:
-        found = [pattern_counts(t, candidates.patterns) for t in texts(text)]
+        found = [pattern_counts(t, candidates) for t in texts(text)]
         return [pa.array([list(x) for x in found], pa.list_(pa.int32())),
                 pa.array([list(x.values()) for x in found], pa.list_(pa.int32())),
                 pa.array([len(t) for t in texts(text)], pa.int64())]
 
     rows = add_columns(sample, ["text"], "which array<int>, counts array<int>, size bigint",
                        run, ["toxic"]).collect()
-    counts = np.zeros((len(rows), len(candidates.patterns)), dtype=np.float32)
+    rows.sort(key=lambda r: (r["toxic"], r["size"], r["which"], r["counts"]))
+    counts = np.zeros((len(rows), len(candidates)), dtype=np.float32)
     for k, r in enumerate(rows):
         counts[k, r["which"]] = r["counts"]
     label = np.array([r["toxic"] for r in rows], dtype=np.int64)
-    sizes = np.array([r["size"] for r in rows], dtype=np.float64)
-    chosen = _cover(counts[:, : len(mined)] > 0, label) if len(rows) else []
-    patterns = [mined[i] for i in chosen] + [w for w in words if w not in {mined[i] for i in chosen}]
-    place = {p: i for i, p in enumerate(candidates.patterns)}
-    counts = counts[:, [place[p] for p in patterns]]
+    lengths = np.array([r["size"] for r in rows], dtype=np.float64)
+    place = {p: i for i, p in enumerate(candidates)}
+    of = np.array([place[p] for p, _ in signs], dtype=np.int64)
+    present = counts[:, of] >= np.array([n for _, n in signs]) if signs else np.zeros((len(rows), 0), bool)
+    chosen = _cover(present, label)
+    # a pattern is one voter, with the number that explains most
+    mined = list({p: (p, n) for p, n in reversed([signs[i] for i in chosen])}.values())[::-1]
+    used = mined + [(w, 1) for w in words if w not in {p for p, _ in mined}]
+    patterns = tuple(p for p, _ in used)
+    least = np.array([n for _, n in used], dtype=np.float64)
     if not (n1 and n0):
         # nothing to learn from: any listed insult speaks for toxicity
-        weights = np.zeros(2 * len(patterns) + 4)
+        weights = np.zeros(2 * len(used) + 4)
         weights[-4], weights[-1] = 3.0, -3.0
-        return Model(tuple(patterns), weights)
-    found = counts > 0
-    lists = [[patterns.index(w) for w in x.split() if w in patterns] for x in LEXICONS.values()]
-    voters = [found[:, [i]].any(axis=1).astype(int) for i in range(len(chosen))]
-    voters += [found[:, x].any(axis=1).astype(int) for x in lists if x]
+        return Model(patterns, least, weights)
+    counts = counts[:, [place[p] for p in patterns]]
+    found = counts >= least
+    lists = [[patterns.index(w) for w in x.split()] for x in LEXICONS.values()]
+    voters = [found[:, i].astype(int) for i in range(len(mined))]
+    voters += [found[:, x].any(axis=1).astype(int) for x in lists]
     voters.append(-(~found.any(axis=1)).astype(int))
     voters.append(2 * label - 1)
-    post = LabelModel(n1 / (n1 + n0)).fit(np.column_stack(voters))
-    return Model(tuple(patterns), _fit_linear(_features(counts, sizes), post))
+    post = LabelModel(n1 / (n1 + n0)).fit(np.column_stack(voters), trusted=len(voters) - 1)
+    return Model(patterns, least, _fit_linear(_features(counts, lengths, least), post))
 
 
 def scored(docs: DataFrame, model: Model, keep: list[str], name: str = "score") -> DataFrame:
