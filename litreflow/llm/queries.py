@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, fingerprints, langid, quality, simhash, substring, toxicity
+from . import (bpe, chat, decontam, fingerprints, langid, packing, quality, simhash, substring,
+               toxicity)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +16,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_decontamination": decontam.op2_decontamination,
         "op3_language": langid.op3_language,
         "op4_quality": quality.op4_quality,
+        "op5_chat": chat.op5_chat,
+        "op6_packing": packing.op6_packing,
         "op7_simhash": simhash.op7_simhash,
         "op8_substring": substring.op8_substring,
         "op9_byte_bpe": bpe.op9_byte_bpe,
@@ -25,4 +28,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_decontamination": decontam.ORACLE,
+        "op5_chat": chat.ORACLE,
     }
