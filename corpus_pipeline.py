@@ -1,5 +1,9 @@
-"""A training-data pipeline over ``documents``: each stage's result is written
-as Parquet to the shared folder and read again as the next one's documents.
+"""A training-data pipeline over ``documents``: toxic documents go, one document
+of each near-duplicate group stays, passages that an earlier document has are
+cut, documents with benchmark text go, and what is left is tokenized.
+
+Each stage's result is written as Parquet to the shared folder and read again
+as the next one's documents.
 """
 
 from __future__ import annotations
@@ -8,10 +12,30 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from litreflow.llm import bpe
+from litreflow.llm import bpe, common, decontam, simhash, substring, toxicity
 from litreflow.session import shared_dir
 
 
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored below the toxicity threshold."""
+    return toxicity.filtered(docs, common.table(spark, sf_dir, "labels"))
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash component (3-word shingles, 3 bits)."""
+    return simhash.deduplicated(docs, shingle=3, radius=3)
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages that an earlier document has."""
+    return substring.cut(docs)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no window of a benchmark item."""
+    return decontam.decontaminated(docs, common.table(spark, sf_dir, "benchmark"))
+
+
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every remaining text, as counts and digests."""
     return bpe.encoded_digests(docs)
@@ -20,6 +44,10 @@ def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 #: (name, function(spark, docs, sf_dir)); all but the last return the columns
 #: of documents.
 STAGES = [
+    ("toxicity", without_toxic),
+    ("simhash", without_near_copies),
+    ("substring", without_repeats),
+    ("decontamination", without_benchmark),
     ("byte_bpe", tokenized),
 ]
 
@@ -29,7 +57,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every stage applied to ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = common.table(spark, sf_dir, "documents")
     folder = f"{shared_dir(spark)}/corpus-{uuid.uuid4().hex}"
     for k, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{k}-{name}"
