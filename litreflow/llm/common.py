@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import re
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +25,25 @@ SLICE_BYTES = 4_000_000
 GROUP_CHARS = 1_000_000
 
 
+@lru_cache(maxsize=4)
+def _shipped(application: str) -> None:
+    """Send the package to Python workers that could not import it (a session
+    started elsewhere without ``--py-files`` or ``PYTHONPATH``)."""
+    spark = SparkSession.getActiveSession()
+    package = Path(__file__).resolve().parent.parent
+    root = str(package.parent)
+    on_path = [os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if spark is None or root in on_path or not package.is_dir():
+        return
+    with tempfile.NamedTemporaryFile(suffix=".zip", prefix="package-", delete=False) as f:
+        with zipfile.ZipFile(f, "w") as z:
+            for path in sorted(package.rglob("*.py")):
+                z.write(path, path.relative_to(package.parent))
+    spark.sparkContext.addPyFile(f.name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    _shipped(spark.sparkContext.applicationId)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -117,19 +117,19 @@ def judged(docs: DataFrame, wins: DataFrame) -> tuple[DataFrame, list[str]]:
     if facts[0] <= BROADCAST_WINDOWS:  # at most about 20 MB
         known = F.broadcast(known)
     names = [fresh(x, docs) for x in ("n_words", "n_hit", "found")]
-    key = fresh("text_key", docs)
+    key, hit_id, hit_key, own_hits = (fresh(x, docs) for x in ("text_key", "hit_id", "hit_key", "hits"))
     keyed = docs.withColumn(key, F.xxhash64("text"))
-    hits = (keyed.select("doc_id", key, F.explode(_fingerprints(F.col("text"), sorted(facts[1])))
+    hits = (docs.select("doc_id", F.xxhash64("text").alias(key), F.explode(_fingerprints(F.col("text"), sorted(facts[1])))
                          .alias("f"))
             .select("doc_id", key, "f.at", "f.hash")
             .join(known, "hash").filter(F.col("at") >= F.col("off"))
             .groupBy("doc_id", key)
             .agg(F.collect_set(F.struct((F.col("at") - F.col("off")).alias("start"), "len", "win"))
-                 .alias("hits"))
-            .select(F.col("doc_id").alias("hit_id"), F.col(key).alias("hit_key"), "hits"))
+                 .alias(own_hits))
+            .select(F.col("doc_id").alias(hit_id), F.col(key).alias(hit_key), own_hits))
 
     def verified(words: Column) -> Column:
-        right = F.filter(F.col("hits"), lambda x: F.array_join(
+        right = F.filter(F.col(own_hits), lambda x: F.array_join(
             F.slice(words, x["start"] + 1, x["len"]), " ") == x["win"])
         spans = lambda r: F.array_sort(F.transform(r, lambda x: F.struct(
             x["start"].alias("a"), (x["start"] + x["len"]).alias("b"))))
@@ -143,9 +143,9 @@ def judged(docs: DataFrame, wins: DataFrame) -> tuple[DataFrame, list[str]]:
             F.size(words).alias("words"), covered(r).alias("hit"),
             F.array_distinct(F.transform(r, lambda x: x["win"])).alias("wins")))
 
-    both = keyed.join(hits, F.col("doc_id").eqNullSafe(F.col("hit_id")) &
-                      (F.col(key) == F.col("hit_key")), "left")
-    verdict = F.when(F.col("hits").isNull(), F.struct(
+    both = keyed.join(hits, F.col("doc_id").eqNullSafe(F.col(hit_id)) &
+                      (F.col(key) == F.col(hit_key)), "left")
+    verdict = F.when(F.col(own_hits).isNull(), F.struct(
         F.size(words_of(F.col("text"))).alias("words"), F.lit(0).alias("hit"),
         F.array().cast("array<string>").alias("wins"))).otherwise(
         _let(words_of(F.col("text")), verified))

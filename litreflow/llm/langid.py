@@ -34,7 +34,8 @@ UNKNOWN = "und"
 def dictionaries(docs: DataFrame) -> dict[str, bytes]:
     """Dictionary content by language, from rows with text and language: the
     texts that come first by a hash of the id, until the dictionary is full."""
-    known = docs.filter("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL")
+    known = docs.select("doc_id", "lang", "text").filter(
+        "lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL")
     first = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id")
     chosen = (known.select("doc_id", "lang").withColumn("place", F.row_number().over(first))
               .filter(F.col("place") <= SAMPLE_PER_LANGUAGE)

@@ -155,7 +155,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS)
     order = [F.xxhash64(F.col("labelled_id").cast("string")), F.col("labelled_id")]
     chosen = known.filter("quality = 1").orderBy(*order).limit(per_class).unionByName(
         known.filter("quality = 0").orderBy(*order).limit(per_class))
-    rows = (docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled_id"))
+    rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled_id"))
             .select("text", "quality").mapInArrow(_sampled_chunks, "chunk binary, label int").collect())
     rows.sort(key=lambda r: (r["label"], r["chunk"]))  # the same model however tasks end
     net = Network()

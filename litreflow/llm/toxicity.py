@@ -116,11 +116,13 @@ class LabelModel:
         """Posterior probability of class 1 for every row of ``votes``.
 
         Voters start as right four times out of five, ``trusted`` far more
-        often. How they correlate within a class is taken from these first
-        classes; a vote then counts by the inverse of its summed correlations.
+        often; one that repeats others starts with a share of a vote. How
+        voters correlate within a class is taken from these first classes; a
+        vote then counts by the inverse of its summed correlations.
         """
         n, m = votes.shape
-        trust = np.full(m, 1.4)
+        everyone = np.ones(n)
+        trust = 1.4 / self._correlations(votes, everyone).sum(axis=1)
         trust[trusted] = 4.0
         values = np.stack([votes == v for v in (-1, 0, 1)]).astype(np.float64)
         odds = np.log(self.prior / (1 - self.prior))
@@ -220,7 +222,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int) -> DataF
     chosen = known.filter("toxic = 1").orderBy(*order).limit(per_class).unionByName(
         known.filter("toxic = 0").orderBy(*order).limit(per_class))
     # at most 2 * per_class small rows
-    return docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled_id")).select("text", "toxic")
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled_id")).select("text", "toxic")
 
 
 def _document_counts(sample: DataFrame) -> DataFrame:
@@ -306,7 +308,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS)
     if not (n1 and n0):
         # nothing to learn from: any listed insult speaks for toxicity
         weights = np.zeros(2 * len(used) + 4)
-        weights[-4], weights[-1] = 3.0, -3.0
+        weights[-4], weights[-1] = 8.0, -4.0
         return Model(patterns, least, weights)
     counts = counts[:, [place[p] for p in patterns]]
     found = counts >= least
