@@ -11,7 +11,6 @@ from litreflow.functions.scalar import (
     snap_to_day,
     spread_nulls,
     substitute_key,
-    typed_null,
     waterfall,
     zero_fallback,
 )
@@ -26,7 +25,6 @@ __all__ = [
     "snap_to_day",
     "spread_nulls",
     "substitute_key",
-    "typed_null",
     "waterfall",
     "zero_fallback",
 ]

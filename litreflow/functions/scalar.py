@@ -67,18 +67,18 @@ def waterfall(*cols, scale: int = 4) -> Column:
     return F.round(first_non_null(*cols), scale)
 
 
-def spread_nulls(key, *salt, buckets: int = 256) -> Column:
+def spread_nulls(key, *salt) -> Column:
     """Join key for a left join whose left key is often NULL.
 
     A NULL key never matches, but all NULL rows hash to one shuffle
-    partition. Here a NULL becomes one of ``buckets`` marker strings chosen
-    by a hash of ``salt`` (row columns, so a retried task gives the same
-    value). Use with ``& key.isNotNull()`` in the condition: a marker then
+    partition. Here a NULL becomes a marker string made of a hash of ``salt``
+    (row columns, so a retried task gives the same value): NULL rows spread
+    over all partitions, however many there are. Use with ``& key.isNotNull()`` in the condition: a marker then
     cannot match anything, and results equal the plain join.
     """
     k = _c(key)
-    bucket = F.pmod(F.xxhash64(*[_c(c) for c in salt]), F.lit(buckets))
-    return F.coalesce(k.cast("string"), F.concat(F.lit("\u0000null:"), bucket.cast("string")))
+    marker = F.xxhash64(*[_c(c) for c in salt]).cast("string")
+    return F.coalesce(k.cast("string"), F.concat(F.lit("\u0000null:"), marker))
 
 
 def flag_is_false(col) -> Column:
@@ -86,11 +86,6 @@ def flag_is_false(col) -> Column:
     return _c(col) == F.lit(False)
 
 
-def typed_null(data_type: str) -> Column:
-    """``CAST(NULL AS type)`` to align the schemas of a union."""
-    return F.lit(None).cast(data_type)
-
-
 def is_after(col, value: str, inclusive: bool = True,
              data_type: str = "timestamp_ntz") -> Column:
     """Date lower bound with a literal; strict and non-strict differ."""

@@ -23,6 +23,7 @@ from litreflow.functions import (
     greater_or_second,
     half_up_ratio,
     is_after,
+    spread_nulls,
     substitute_key,
     zero_fallback,
 )
@@ -111,16 +112,15 @@ def daily_quantity_from(tx: DataFrame, t: DriverTables) -> DataFrame:
     pre = (tx.filter(flag_is_false("reversed"))
            .groupBy(*groups, key.alias("customer_key"))
            .agg(F.sum("l_quantity").alias("litres")))
-    site = t.supplier.select(F.col("s_suppkey").alias("supply_site_id"),
-                             F.col("s_name").alias("depot"))
-    cust = t.customer.select(F.col("c_custkey").alias("customer_key"),
-                             F.col("c_name").alias("customer"))
+    # A title that n dimension rows share counts its litres n times: equal to
+    # grouping the joined rows again, without the group-by.
+    site = t.supplier.groupBy(F.col("s_suppkey").alias("supply_site_id"),
+                              F.col("s_name").alias("depot")).agg(F.count(F.lit(1)).alias("n_site"))
+    cust = t.customer.groupBy(F.col("c_custkey").alias("customer_key"),
+                              F.col("c_name").alias("customer")).agg(F.count(F.lit(1)).alias("n_cust"))
     titled = pre.join(site, "supply_site_id").join(cust, "customer_key")
-    # Group again with the titles: equal to grouping the joined rows even if
-    # a dimension key repeated.
-    return (titled.groupBy(*groups, "customer_key", "depot", "customer")
-            .agg(F.sum("litres").alias("litres"))
-            .drop("customer_key"))
+    return titled.select(*groups, "depot", "customer",
+                         (F.col("litres") * F.col("n_site") * F.col("n_cust")).alias("litres"))
 
 
 # Daily litres, joined on the CASE key, full load.
@@ -134,11 +134,12 @@ def daily_quantity(spark, sf_dir) -> DataFrame:
 def deduped_orders(spark, sf_dir) -> DataFrame:
     t = _t(spark, sf_dir)
     o, li, c, n = t.orders, t.lineitem, t.customer, t.nation
+    # the customer's nation and the customer first, the items' fan-out last
+    owner = c.join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     j = (o.filter(is_after("o_orderdate", ORDERS_FROM))
+         .join(owner, F.col("o_custkey") == F.col("c_custkey"), "left")
          .join(li, (F.col("o_orderkey") == F.col("l_orderkey"))
                & (F.col("o_orderstatus") == F.col("l_linestatus")), "left")
-         .join(c, F.col("o_custkey") == F.col("c_custkey"), "left")
-         .join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left")
          .select("o_orderkey", "l_linenumber", "o_orderdate", "l_partkey", "l_suppkey",
                  F.col("c_name").alias("customer_name"), F.col("n_name").alias("nation_name"),
                  "o_orderpriority", "l_quantity", "l_extendedprice", "l_shipdate"))
@@ -177,9 +178,11 @@ def active_codes(spark, sf_dir) -> DataFrame:
     # customer as card authorisations: vehicle = nation, card = customer key
     auth = t.customer.select(F.col("c_nationkey").cast("string").alias("vehicle_id"),
                              F.col("c_custkey").alias("auth_card_id"))
-    joined = auth.join(valid, F.col("auth_card_id") == F.col("card_id"))
-    per_vehicle = latest_per_key(joined, ["vehicle_id"],
-                                 [F.col("captured").desc(), F.col("expiry").desc()],
+    newest = [F.col("captured").desc(), F.col("expiry").desc()]
+    # one code per card before the authorisations fan out
+    per_card = latest_per_key(valid, ["card_id"], newest, [F.col("code").asc()])
+    joined = auth.join(per_card, F.col("auth_card_id") == F.col("card_id"))
+    per_vehicle = latest_per_key(joined, ["vehicle_id"], newest,
                                  [F.col("code").asc(), F.col("auth_card_id").asc()])
     b = per_vehicle.select(F.col("vehicle_id").alias("VehicleID"),
                            F.col("code").alias("CurrentVirtualCardNumber"),
@@ -214,15 +217,17 @@ def enriched_fact(spark, sf_dir) -> DataFrame:
     funder = s.select(F.col("s_suppkey").alias("funder_key"), F.col("s_name").alias("funder_name"))
     fact = li.withColumn("ship_date", F.to_date("l_shipdate")).withColumn(
         "funder_id", F.when(F.col("l_returnflag") == "N", F.col("l_suppkey")))
-    # Joins grouped by key: the customer and the customer's newest order
-    # share one partitioning of the fact (one shuffle at scale, not two).
+    # Lookups hang on their own parent: nation and region on the customer,
+    # customer and newest order on the order. The fact is shuffled once per
+    # own key: order, funder, part, promotion.
+    places = n.join(r, F.col("n_regionkey") == F.col("r_regionkey"), "left")
+    owners = (c.join(places, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+              .join(latest, F.col("c_custkey") == F.col("ncp_custkey"), "left"))
+    ordered = o.join(owners, F.col("o_custkey") == F.col("c_custkey"), "left")
     j = (fact
-         .join(o, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-         .join(c, F.col("o_custkey") == F.col("c_custkey"), "left")
-         .join(latest, F.col("o_custkey") == F.col("ncp_custkey"), "left")
-         .join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-         .join(r, F.col("n_regionkey") == F.col("r_regionkey"), "left")
-         .join(funder, F.col("funder_id") == F.col("funder_key"), "left")
+         .join(ordered, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+         .join(funder, (spread_nulls("funder_id", "l_orderkey", "l_linenumber")
+                        == F.col("funder_key").cast("string")) & F.col("funder_id").isNotNull(), "left")
          .join(p, F.col("l_partkey") == F.col("p_partkey"), "left")
          .join(promos, (F.col("ship_date") == F.col("promo_date"))
                & (F.col("l_suppkey") == F.col("promo_supp"))
@@ -262,7 +267,10 @@ def _linked_payments(t: DriverTables) -> DataFrame:
     entries = o.select(F.col("o_orderkey").alias("entry_id"),
                        F.col("o_totalprice").cast("decimal(18,2)").alias("amount"),
                        F.col("o_orderdate").alias("entry_captured"))
-    return links.join(entries, F.col("txn_id") == F.col("entry_id"), "left")
+    # the nil entry matches nothing and may be the most frequent id: spread
+    known = F.col("txn_id").isNotNull() & (F.col("txn_id") != NIL_KEY)
+    key = spread_nulls(F.when(known, F.col("txn_id")), "order_key", "captured")
+    return links.join(entries, (key == F.col("entry_id").cast("string")) & known, "left")
 
 
 # Settlement date per order; one pass with conditional aggregates.

@@ -4,9 +4,7 @@ from litreflow.sinks.incremental import MergeResult, merge_by_partition_rewrite,
 from litreflow.sinks.writers import (
     database_for,
     register_table,
-    write_day_partitioned,
     write_table,
-    write_view,
 )
 
 __all__ = [
@@ -15,7 +13,5 @@ __all__ = [
     "merge_by_partition_rewrite",
     "month_of",
     "register_table",
-    "write_day_partitioned",
     "write_table",
-    "write_view",
 ]

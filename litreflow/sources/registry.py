@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from litreflow.session import folder_exists
 from litreflow.sources.schemas import SCHEMAS, SEED_SUPPLIER_ORDER_MONDAY
 
 
@@ -29,7 +30,12 @@ class SourceRegistry:
         return self
 
     def has(self, dataset: str, table: str) -> bool:
-        return (dataset, table) in self._frames
+        """Whether ``source`` finds the table, in the same order."""
+        if (dataset, table) in self._frames:
+            return True
+        if self.root is not None:
+            return folder_exists(self.spark, f"{self.root}/{dataset}/{table}")
+        return self.spark.catalog.tableExists(f"{dataset}.{table}")
 
     def source(self, dataset: str, table: str) -> DataFrame:
         key = (dataset, table)

@@ -29,7 +29,7 @@ def schema(spec: str) -> T.StructType:
     return T.StructType(fields)
 
 
-# Column lists per (dataset, table) as read by the marts.
+# --- fixed values: column lists per (dataset, table) as read by the marts ---
 SCHEMAS: dict[tuple[str, str], T.StructType] = {
     # --- fuel-card domain -------------------------------------------------
     ("tfn_monday", "depot_info"): schema(
@@ -43,6 +43,10 @@ SCHEMAS: dict[tuple[str, str], T.StructType] = {
     ("tfn_ops_dashboards", "tfn_promotions_at_depot"): schema(
         "CapturedDate date, SupplySiteID s, ProductID s, "
         "SupplierDiscountPerLitre d, TFNDiscountPerLitre d"),
+    ("tfn_ops_dashboards", "precalculated_transaction_data_partitioned"): schema(
+        "date date, Customer s, FullNumber s, SupplySiteID s, DepotName s, LitreAmount d, "
+        "TransactionAmount d, Region s, VehicleID s, Registration s, ProductTitle s, "
+        "ProductCategory s, TransactionID s, SupplierDiscountPerLitre d, TFNDiscountPerLitre d"),
     ("tfn_reports", "orders"): schema(
         "OrderNumberTitle s, OrderInstanceID s, CapturedDate ts, VehicleID s, "
         "CustomerNumber s, SupplySiteID s, SupplySiteNumber s, ProductCode s, "
@@ -142,3 +146,4 @@ SCHEMAS: dict[tuple[str, str], T.StructType] = {
 SEED_SUPPLIER_ORDER_MONDAY = schema(
     "SupplierOrder s, monday_item_id s, monday_name s, SentToMonday b, "
     "created_at ts, updated_at ts")
+# --- end of fixed values ----------------------------------------------------
