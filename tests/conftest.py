@@ -15,7 +15,8 @@ SF_CHECK = "/root/testdata/sf0.01"
 def spark():
     import tempfile
     s = build_session("local[*]", app="litreflow-tests", shuffle_partitions=8,
-                      extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="litreflow-wh-")})
+                      extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="litreflow-wh-"),
+                             "spark.checkpoint.dir": tempfile.mkdtemp(prefix="litreflow-ckpt-")})
     yield s
     s.stop()
 

@@ -13,8 +13,8 @@ from litreflow.checks import Check, failed_errors, run_checks
 from litreflow.constants import NIL_GUID
 from litreflow.plans import fuelcard
 from litreflow.plans.job import run_tagged
-from litreflow.session import shared_dir
-from litreflow.sinks import database_for, merge_by_partition_rewrite
+from litreflow.session import folder_exists, shared_dir
+from litreflow.sinks import database_for, merge_by_partition_rewrite, write_table
 from litreflow.sources.schemas import SCHEMAS
 
 D = dt.datetime
@@ -172,3 +172,85 @@ def test_written_marts_are_catalog_tables(spark):
                env="prod", default_db="analytics", catalog=True)
     assert spark.table("tfn_data_historical.data_tool").count() == 4
     assert spark.table("analytics.tfn_precalculated_transactions").count() == 2
+
+
+def test_rows_without_a_month_are_kept(spark):
+    path, schema = _target(spark), "Date date, k string, v double"
+    merge = lambda rows: merge_by_partition_rewrite(
+        spark, lambda m: spark.createDataFrame(rows, schema), path, ["Date", "k"], "Date")
+    merge([(dt.date(2025, 1, 1), "a", 1.0), (None, "n1", 1.0)])
+    res = merge([(dt.date(2025, 1, 2), "b", 1.0), (None, "n2", 2.0), (None, "n3", 3.0)])
+    assert res.touched_partitions == ["2025-01", None]
+    merge([(dt.date(2025, 1, 3), "c", 1.0), (None, "n3", 4.0)])
+    got = {(r.k, r.v) for r in spark.read.parquet(path).collect()}
+    assert got == {("a", 1.0), ("b", 1.0), ("c", 1.0), ("n1", 1.0), ("n2", 2.0), ("n3", 4.0)}
+
+
+def test_first_run_rejects_repeated_keys(spark):
+    path = _target(spark)
+    rows = [(dt.date(2025, 1, 1), "k", 1.0), (dt.date(2025, 1, 1), "k", 2.0)]
+    with pytest.raises(ValueError):
+        merge_by_partition_rewrite(spark, lambda m: spark.createDataFrame(rows, "Date date, k string, v double"),
+                                   path, ["Date", "k"], "Date")
+    assert not folder_exists(spark, path)                   # nothing was written
+
+
+def test_rerun_changes_nothing_and_leaves_no_staging(spark):
+    path, schema = _target(spark), "Date date, k string, v double"
+    rows = [(dt.date(2025, 1, d), f"k{d}", float(d)) for d in range(1, 20)]
+    build = lambda m: spark.createDataFrame(rows, schema).filter(
+        F.lit(True) if m is None else F.col("Date") >= F.lit(m))
+    run = lambda: merge_by_partition_rewrite(spark, build, path, ["Date", "k"], "Date")
+    first, again, more = run(), run(), run()
+    assert (first.batch_rows, again.batch_rows, more.batch_rows) == (19, 1, 1)
+    assert sorted((r.k, r.v) for r in spark.read.parquet(path).collect()) == sorted((k, v) for _, k, v in rows)
+    stage = f"{shared_dir(spark)}/litreflow-stage"
+    import os
+    assert not os.path.isdir(stage) or os.listdir(stage) == []
+
+
+def test_full_rebuild_drops_vanished_days(spark):
+    path = _target(spark)
+    both = spark.createDataFrame([("2024-01-01", 1), ("2024-01-02", 2)], "date string, v int")
+    write_table(both, path, ["date"])
+    write_table(both.filter("v = 2"), path, ["date"])
+    assert [r.v for r in spark.read.parquet(path).collect()] == [2]
+
+
+def test_unreadable_target_is_not_a_first_run(spark, tmp_path):
+    from litreflow.sinks.incremental import read_target
+    assert read_target(spark, str(tmp_path / "none")) is None
+    (tmp_path / "empty").mkdir()
+    assert read_target(spark, str(tmp_path / "empty")) is None
+    (tmp_path / "damaged").mkdir()
+    (tmp_path / "damaged" / "part-0.parquet").write_bytes(b"not parquet")
+    with pytest.raises(Exception, match="(?i)parquet|footer|read"):
+        read_target(spark, str(tmp_path / "damaged"))
+
+
+def test_declared_inputs_are_read(spark, tmp_path):
+    """With an empty declared fact, the dashboards have no row."""
+    from litreflow.sources.registry import SourceRegistry
+    src, root = registry(spark), str(tmp_path)
+    for (dataset, table), df in src._frames.items():
+        df.write.parquet(f"{root}/{dataset}/{table}")
+    name = ("tfn_ops_dashboards", "precalculated_transaction_data_partitioned")
+    spark.createDataFrame([], SCHEMAS[name]).write.parquet(f"{root}/{name[0]}/{name[1]}")
+    declared = SourceRegistry(spark, root)
+    assert declared.has(*name) and not declared.has("tfn_data", "tfn_live_vehicles")
+    out = f"{root}-marts"
+    run_tagged(spark, declared, out, names=["tfn_supplier_manager"], checked=False)
+    assert spark.read.parquet(f"{out}/tfn_ops_dashboards/tfn_supplier_manager").count() == 0
+    assert fuelcard.supplier_manager(registry(spark)).count() > 0
+
+
+def test_every_daily_mart_outlives_the_session(spark, tmp_path):
+    from litreflow.plans.job import MARTS
+    out = str(tmp_path)
+    report = run_tagged(spark, registry(spark), out, tag="daily_run")
+    other = spark.newSession()
+    for mart in [m for m in MARTS if "daily_run" in m.tags]:
+        assert other.read.parquet(f"{out}/{mart.database}/{mart.name}").columns
+    assert other.read.parquet(f"{out}/checks_report").count() == report.count() > 0
+    with pytest.raises(ValueError):
+        run_tagged(spark, registry(spark), out, names=["no_such_mart"])
