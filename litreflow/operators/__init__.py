@@ -8,7 +8,7 @@ from litreflow.operators.aggregates import (
 from litreflow.operators.dedupe import distinct_keys, latest_per_key
 from litreflow.operators.flags import existence_flag, union_with_typed_nulls
 from litreflow.operators.settlement import payment_aggregates, settlement_date
-from litreflow.operators.validity import validity_join
+from litreflow.operators.validity import newest_valid, validity_join
 
 __all__ = [
     "collect_and_flag",
@@ -16,6 +16,7 @@ __all__ = [
     "distinct_keys",
     "existence_flag",
     "latest_per_key",
+    "newest_valid",
     "payment_aggregates",
     "settlement_date",
     "two_sided_ledger",

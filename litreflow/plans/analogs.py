@@ -33,6 +33,7 @@ from litreflow.operators import (
     conditional_pivot,
     existence_flag,
     latest_per_key,
+    newest_valid,
     settlement_date,
     two_sided_ledger,
     union_with_typed_nulls,
@@ -330,13 +331,11 @@ def validity_price_open(spark, sf_dir) -> DataFrame:
 # per line.
 def validity_price_closed(spark, sf_dir) -> DataFrame:
     t = _t(spark, sf_dir)
-    m = validity_join(_line_points(t), _price_bands(t), [("cust", "band_cust")],
-                      at="l_shipdate", lower=F.col("eff_from"),
-                      upper=end_of_snapped_day("eff_to"), is_open=_open(),
-                      open_lower=snap_to_day("eff_from"), open_inclusive=True,
-                      bucket_days=VALIDITY_BUCKET_DAYS)
-    best = latest_per_key(m, ["l_orderkey", "l_linenumber"],
-                          [F.col("eff_from").desc()], [F.col("band_order").desc()])
+    best = newest_valid(_line_points(t), _price_bands(t), [("cust", "band_cust")],
+                        ["l_orderkey", "l_linenumber"], at="l_shipdate", lower=F.col("eff_from"),
+                        upper=end_of_snapped_day("eff_to"), is_open=_open(),
+                        newest=["eff_from", "band_order"], open_lower=snap_to_day("eff_from"),
+                        open_inclusive=True, bucket_days=VALIDITY_BUCKET_DAYS)
     return best.select("l_orderkey", "l_linenumber", "band_order", "eff_from", "rebate")
 
 
@@ -532,22 +531,19 @@ def _rebate_prices(t: DriverTables, bo: DataFrame, delivery: bool) -> DataFrame:
         "order_key", "cust", "invoice_date", "grid_price", "buyer_price", "adjusted_price")
     bands = _price_bands(t).withColumn(
         "rebate_dec", F.col("rebate").cast("decimal(18,2)") * F.lit(Decimal("0.0001")))
+    own = ["order_key", "grid_price", "buyer_price", "adjusted_price"]
+    how = dict(at="invoice_date", lower=F.col("eff_from"), is_open=_open(),
+               newest=["eff_from", "band_order"], bucket_days=VALIDITY_BUCKET_DAYS)
     if delivery:
-        m = validity_join(pts, bands, [("cust", "band_cust")], at="invoice_date",
-                          lower=F.col("eff_from"), upper=end_of_snapped_day("eff_to"),
-                          is_open=_open(), open_lower=snap_to_day("eff_from"),
-                          open_inclusive=True, bucket_days=VALIDITY_BUCKET_DAYS)
+        best = newest_valid(pts, bands, [("cust", "band_cust")], own, upper=end_of_snapped_day("eff_to"),
+                            open_lower=snap_to_day("eff_from"), open_inclusive=True, **how)
         price = F.when(F.col("adjusted_price") > 0, F.col("adjusted_price") - F.col("rebate_dec")) \
             .otherwise(F.col("buyer_price") - F.col("rebate_dec"))
     else:
-        m = validity_join(pts, bands, [("cust", "band_cust")], at="invoice_date",
-                          lower=F.col("eff_from"), upper=F.col("eff_to"), is_open=_open(),
-                          open_inclusive=False, bucket_days=VALIDITY_BUCKET_DAYS)
+        best = newest_valid(pts, bands, [("cust", "band_cust")], own, upper=F.col("eff_to"), **how)
         price = F.col("grid_price") - F.col("rebate_dec")
-    best = latest_per_key(m.select("order_key", "eff_from", "band_order", price.alias("pp")),
-                          ["order_key"], [F.col("eff_from").desc()], [F.col("band_order").desc()])
     name = "delivery_price" if delivery else "collection_price"
-    return best.select(F.col("order_key").alias(f"{name}_key"), F.col("pp").alias(name))
+    return best.select(F.col("order_key").alias(f"{name}_key"), price.alias(name))
 
 
 # Buyer orders with pivoted linked amounts, the newest load, rebate

@@ -3,6 +3,7 @@
 import random
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import ts
@@ -206,3 +207,69 @@ def test_settlement_date_cases(spark):
     assert got["nil"] == (Decimal("0.00"), d("2025-03-02 00:00:00"))      # NULL sum -> fallback
     assert got["alloc"] == (Decimal("0.00"), d("2025-04-02 00:00:00"))
     assert got["nulltx"] == (Decimal("10.00"), None)                      # no candidate
+
+
+def _newest_brute(points, bands, inclusive):
+    out = {}
+    for pid, key, at in points:
+        for bkey, lo, hi, is_open, n in bands:
+            if at is None or key is None or key != bkey or lo is None:
+                continue
+            valid = (hi is not None and lo <= at <= hi) or (is_open and (at >= lo if inclusive else at > lo))
+            if valid and (pid not in out or (lo, n) > out[pid]):
+                out[pid] = (lo, n)
+    return out
+
+
+@pytest.mark.parametrize("inclusive", [True, False])
+def test_newest_valid_equals_brute_force(spark, inclusive):
+    import datetime as dt
+    import random
+    from litreflow.operators import newest_valid
+    rnd = random.Random(5)
+    day = lambda n: dt.datetime(2024, 1, 1) + dt.timedelta(days=n)
+    key = lambda: rnd.choice(["hot", "hot", "b", "c", None])
+    points = [(i, key(), rnd.choice([None, *map(day, range(200))])) for i in range(300)]
+    bands = []
+    for n in range(120):
+        lo, is_open = day(rnd.randrange(200)), rnd.random() < 0.5
+        hi = dt.datetime(1900, 1, 1) if is_open else lo + dt.timedelta(days=rnd.randrange(-2, 50))
+        bands.append((key(), rnd.choice([lo, lo, lo, None]), hi, is_open, n))
+    p = spark.createDataFrame(points, "pid int, k string, at timestamp_ntz")
+    b = spark.createDataFrame(bands, "bk string, lo timestamp_ntz, hi timestamp_ntz, op boolean, n int")
+    got = newest_valid(p, b, [("k", "bk")], ["pid"], at="at", lower=F.col("lo"), upper=F.col("hi"),
+                       is_open=F.col("op"), newest=["lo", "n"], open_inclusive=inclusive, bucket_days=20)
+    assert {r.pid: (r.lo, r.n) for r in got.collect()} == _newest_brute(points, bands, inclusive)
+
+
+def test_newest_valid_makes_no_pairs_of_open_bands(spark):
+    """n points and n open bands of one key: no join makes more than n rows."""
+    import datetime as dt
+    from litreflow.operators import newest_valid
+    n = 400
+    rows = [(i, "k", dt.datetime(2024, 1, 1) + dt.timedelta(hours=i)) for i in range(n)]
+    p = spark.createDataFrame(rows, "pid int, k string, at timestamp_ntz")
+    b = spark.createDataFrame([(k, at, True, i) for i, k, at in rows],
+                              "bk string, lo timestamp_ntz, op boolean, n int")
+    got = newest_valid(p, b, [("k", "bk")], ["pid"], at="at", lower=F.col("lo"),
+                       upper=F.lit("1900-01-01").cast("timestamp_ntz"), is_open=F.col("op"), newest=["lo", "n"])
+    assert got.count() == n - 1
+    made = []
+    def walk(node):
+        if "Join" in node.nodeName():
+            metric = node.metrics().get("numOutputRows")
+            if metric.isDefined():
+                made.append(metric.get().value())
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+        for inner in ("executedPlan", "plan"):
+            try:
+                walk(getattr(node, inner)())
+                break
+            except Exception:
+                pass
+    df = got.select("pid")
+    df.collect()
+    walk(df._jdf.queryExecution().executedPlan())
+    assert made and max(made) <= n
