@@ -4,7 +4,8 @@ Pre-tokenization works on arrays, without a regular expression: every code
 point gets a class, every class (with what follows it) is a function from
 scanner state to scanner state, and because composing such functions is
 associative, the states at all positions come from a blocked prefix scan.
-The slices found are encoded by pair merging behind a bounded cache.
+The slices found are encoded by pair merging behind a bounded cache; slices of
+one length that it lacks are merged together, a matrix row each.
 
 Inputs: null text is the empty text, and gives no ids. Invalid UTF-8 is read
 as U+FFFD. Repeated rows are encoded each. Other columns are kept as they are;
@@ -16,6 +17,7 @@ from __future__ import annotations
 import base64
 import heapq
 import unicodedata
+from collections import Counter
 from functools import lru_cache
 
 import numpy as np
@@ -29,9 +31,11 @@ from .common import add_columns, char_groups, table, texts
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Entries of the younger half of the slice cache; the older half is as large.
-CACHE_SLICES = 400_000
+CACHE_SLICES = 120_000
 #: Slices over this many bytes are merged with a heap and not cached.
 LONG_SLICE = 160
+#: Slices up to this many bytes are merged as rows of a matrix.
+MATRIX_SLICE = 40
 
 # -- scanner ---------------------------------------------------------------
 # Classes of code points.
@@ -167,6 +171,9 @@ def slice_starts(points: np.ndarray, firsts: np.ndarray) -> np.ndarray:
 
 
 # -- merging ---------------------------------------------------------------
+NONE = 1 << 60  # no rank: the pair cannot be joined
+
+
 class Vocabulary:
     """Ranks by bytes, bytes by id, and encoded slices."""
 
@@ -176,9 +183,87 @@ class Vocabulary:
             pairs = [line.split() for line in f if line.strip()]
         self.ranks = {base64.b64decode(a): int(b) for a, b in pairs}
         self.bytes_of = {i: b for b, i in self.ranks.items()}
+        self.of_byte = np.array([self.ranks[bytes([i])] for i in range(256)], dtype=np.int64)
+        self._index_pairs()
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
+    def _index_pairs(self) -> None:
+        """Open-addressing table: (left id, right id) -> id of both together."""
+        ranks = self.ranks
+        pairs = [(ranks[w[:i]], ranks[w[i:]], r) for w, r in ranks.items() for i in range(1, len(w))
+                 if w[:i] in ranks and w[i:] in ranks]
+        left, right, made = np.array(pairs, dtype=np.int64).T
+        keys = left << 32 | right
+        size = 1 << (2 * len(keys)).bit_length()
+        self.slots, self.made = np.full(size, -1, dtype=np.int64), np.full(size, NONE, dtype=np.int64)
+        self.shift = np.uint64(64 - size.bit_length() + 1)
+        at = self._slot(keys)
+        while len(keys):  # one key wins each free slot, the others go on
+            free = self.slots[at] == -1
+            self.slots[at[free]] = keys[free]
+            mine = self.slots[at] == keys
+            self.made[at[mine]] = made[mine]
+            keys, made, at = keys[~mine], made[~mine], (at[~mine] + 1) & (size - 1)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def joined(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Id of each pair, NONE where there is none."""
+        keys = left << 32 | right
+        at = self._slot(keys)
+        found = self.slots[at]
+        out = np.where(found == keys, self.made[at], NONE)
+        open_ = np.flatnonzero((found != keys) & (found != -1))
+        while len(open_):
+            at[open_] = (at[open_] + 1) & (len(self.slots) - 1)
+            found = self.slots[at[open_]]
+            hit = found == keys[open_]
+            out[open_[hit]] = self.made[at[open_[hit]]]
+            open_ = open_[~hit & (found != -1)]
+        return out
+
+    def merge_rows(self, words: list[bytes]) -> list[bytes]:
+        """Ids (int32 bytes) of words of one length: every round joins, in each
+        row, the leftmost pair of lowest rank, so each row loses one column."""
+        n, size = len(words), len(words[0])
+        ids = self.of_byte[np.frombuffer(b"".join(words), dtype=np.uint8).reshape(n, size)]
+        ranks = self.joined(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(n, size - 1)
+        out: list[bytes] = [b""] * n
+        which = np.arange(n)
+
+        def finish(rows: np.ndarray, of: np.ndarray) -> None:
+            raw, step = rows.astype(np.int32).tobytes(), 4 * rows.shape[1]
+            for k, i in enumerate(of.tolist()):
+                out[i] = raw[k * step : (k + 1) * step]
+
+        while ids.shape[1] > 1 and len(ids):
+            best = ranks.argmin(axis=1)
+            low = ranks[np.arange(len(ids)), best]
+            over = low == NONE
+            if over.any():
+                finish(ids[over], which[over])
+                go = ~over
+                ids, ranks, which, best, low = ids[go], ranks[go], which[go], best[go], low[go]
+            n, k = ids.shape
+            if not n:
+                return out
+            row = np.arange(n)
+            ids[row, best] = low
+            keep = np.ones((n, k), dtype=bool)
+            keep[row, best + 1] = False
+            ids = ids[keep].reshape(n, k - 1)
+            keep = np.ones((n, k - 1), dtype=bool)
+            keep[row, best] = False
+            ranks = ranks[keep].reshape(n, k - 2)
+            left = np.flatnonzero(best > 0)
+            ranks[left, best[left] - 1] = self.joined(ids[left, best[left] - 1], low[left])
+            right = np.flatnonzero(best < k - 2)
+            ranks[right, best[right]] = self.joined(low[right], ids[right, best[right] + 1])
+        finish(ids, which)
+        return out
+
     def merge(self, word: bytes) -> list[int]:
         """Ids of one slice: always join the leftmost pair of lowest rank."""
         ranks = self.ranks
@@ -188,19 +273,18 @@ class Vocabulary:
         if len(word) > LONG_SLICE:
             return self._merge_long(word)
         parts = [word[i : i + 1] for i in range(len(word))]
-        none = 1 << 60
-        pairs = [ranks.get(a + b, none) for a, b in zip(parts, parts[1:])]
+        pairs = [ranks.get(a + b, NONE) for a, b in zip(parts, parts[1:])]
         while pairs:
             low = min(pairs)
-            if low == none:
+            if low == NONE:
                 break
             i = pairs.index(low)
             parts[i] += parts.pop(i + 1)
             pairs.pop(i)
             if i:
-                pairs[i - 1] = ranks.get(parts[i - 1] + parts[i], none)
+                pairs[i - 1] = ranks.get(parts[i - 1] + parts[i], NONE)
             if i < len(pairs):
-                pairs[i] = ranks.get(parts[i] + parts[i + 1], none)
+                pairs[i] = ranks.get(parts[i] + parts[i + 1], NONE)
         return [ranks[p] for p in parts]
 
     def _merge_long(self, word: bytes) -> list[int]:
@@ -239,19 +323,36 @@ class Vocabulary:
 
     def packed(self, slices: list[bytes]) -> list[bytes]:
         """Ids of every slice as int32 bytes."""
-        out = []
-        for w in slices:
-            got = self.young.get(w)
+        young, old, ranks = self.young, self.old, self.ranks
+        known: dict[bytes, bytes] = {}
+        fresh: dict[bytes, bytes] = {}
+        missing: dict[int, list[bytes]] = {}
+        counts = Counter(slices)
+        for w in counts:
+            got = young.get(w)
             if got is None:
-                got = self.old.get(w)
+                got = old.get(w)
                 if got is None:
-                    got = np.array(self.merge(w), dtype=np.int32).tobytes()
-                if len(w) <= LONG_SLICE:
-                    if len(self.young) >= CACHE_SLICES:
-                        self.old, self.young = self.young, {}
-                    self.young[w] = got
-            out.append(got)
-        return out
+                    rank = ranks.get(w)
+                    if rank is None:
+                        missing.setdefault(len(w), []).append(w)
+                        continue
+                    got = rank.to_bytes(4, "little")
+                fresh[w] = got
+            known[w] = got
+        for size, words in missing.items():
+            if size <= MATRIX_SLICE and len(words) > 3:
+                made = self.merge_rows(words)
+            else:
+                made = [np.array(self.merge(w), dtype="<i4").tobytes() for w in words]
+            known.update(zip(words, made))
+            if size <= LONG_SLICE:  # what comes once may not come again
+                fresh.update((w, got) for w, got in zip(words, made) if counts[w] > 1)
+        if len(young) + len(fresh) > CACHE_SLICES:
+            self.old, self.young = young, fresh
+        else:
+            young.update(fresh)
+        return list(map(known.__getitem__, slices))
 
 
 @lru_cache(maxsize=2)
