@@ -3,7 +3,7 @@ of each near-duplicate group stays, passages that an earlier document has are
 cut, documents with benchmark text go, and what is left is tokenized.
 
 Each stage's result is written as Parquet to the shared folder and read again
-as the next one's documents.
+as the next one's documents; it is removed once the next one is written.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from litreflow.llm import bpe, common, decontam, simhash, substring, toxicity
-from litreflow.session import shared_dir
+from litreflow.session import remove_folder, shared_dir
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,8 +59,12 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every stage applied to ``documents``."""
     docs = common.table(spark, sf_dir, "documents")
     folder = f"{shared_dir(spark)}/corpus-{uuid.uuid4().hex}"
+    before = None
     for k, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{k}-{name}"
         stage(spark, docs, sf_dir).write.mode("overwrite").parquet(path)
         docs = spark.read.parquet(path)
+        if before is not None:
+            remove_folder(spark, before)
+        before = path
     return docs

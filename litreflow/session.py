@@ -36,6 +36,8 @@ BASE_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "10m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # checkpoint files go when nothing refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
