@@ -5,7 +5,8 @@ Each byte becomes a learned vector; learned filters run over the chunk, are
 max-pooled, and a small layer makes the chunk's score. The mean of the chunks'
 scores, through a sigmoid, is the text's probability of label 1. The network
 is trained on a bounded, class-balanced sample of labelled documents, chunk by
-chunk, with a fixed seed.
+chunk, with a fixed seed; its scores are then moved from the sample's share of
+label 1 to the share among all training labels.
 
 Inputs: a null text is the empty text; the empty text is one chunk of padding
 and gets a score too. Null labels are left out. Without training rows of both
@@ -27,7 +28,7 @@ from .common import add_columns, crc_remainder, slices, table, utf8_texts
 CHUNK, STRIDE = 512, 448
 WIDTH, DIM, FILTERS, HIDDEN = 6, 8, 24, 16
 #: Training documents of each class, and chunks of each, at most.
-SAMPLE_PER_CLASS = 1200
+SAMPLE_PER_CLASS = 2400
 CHUNKS_PER_DOCUMENT = 6
 EPOCHS, BATCH, RATE = 8, 64, 0.004
 THRESHOLD = 0.7
@@ -61,6 +62,7 @@ class Network:
         }
         self.p["embed"][PADDING] = 0
         self.prior: float | None = None
+        self.shift = 0.0  # log odds of label 1 among all labels over those in the sample
 
     def _windows(self, x: np.ndarray) -> np.ndarray:
         """(chunks * places, WIDTH * DIM) embedded windows."""
@@ -87,7 +89,7 @@ class Network:
         x = chunks(text)
         total = sum(float(self.logits(x[a : a + CHUNKS_AT_ONCE]).sum())
                     for a in range(0, len(x), CHUNKS_AT_ONCE))
-        return float(1 / (1 + np.exp(-np.clip(total / len(x), -30, 30))))
+        return float(1 / (1 + np.exp(-np.clip(total / len(x) + self.shift, -30, 30))))
 
     def gradients(self, x: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
         """Of the mean cross-entropy; only the pooled places pass it on."""
@@ -158,12 +160,14 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS)
     rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled_id"))
             .select("text", "quality").mapInArrow(_sampled_chunks, "chunk binary, label int").collect())
     rows.sort(key=lambda r: (r["label"], r["chunk"]))  # the same model however tasks end
+    shares = {r["quality"]: r["count"] for r in known.groupBy("quality").count().collect()}
     net = Network()
     y = np.array([r["label"] for r in rows], dtype=np.float32)
     if not len(y) or y.min() == y.max():
         net.prior = float(y.mean()) if len(y) else 0.5
         return net
     net.fit(np.stack([np.frombuffer(r["chunk"], dtype="<i2") for r in rows]), y)
+    net.shift = float(np.log(shares[1] / shares[0]) - np.log(y.sum() / (len(y) - y.sum())))
     return net
 
 
