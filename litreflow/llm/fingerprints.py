@@ -23,16 +23,16 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import (WORD_BYTES, add_columns, checkpointed, gram_hashes, mix64, slices, table,
-                     texts, utf8_texts, word_hashes)
+from .common import WORD_BYTES, add_columns, gram_hashes, mix64, slices, table, texts, utf8_texts, word_hashes
 
 SHINGLE = 5
 SAMPLES = 64
-#: Ranges of doc_id that are worked on at once, at most.
-MAX_RANGES = 1000
+#: Ranges of doc_id (one task each), at most: one short row of each comes to
+#: the driver and is broadcast.
+MAX_RANGES = 40_000
 _BLOCK = 2048
 _LEVELS = 1 << 16
 
@@ -139,16 +139,30 @@ def fingerprinted(docs: DataFrame, text: str = "text", name: str = "fingerprint"
 
 
 # -- edited texts ----------------------------------------------------------
-def _ranges(rows: DataFrame) -> DataFrame:
-    """``rows`` (doc_id, text, tie) with the number of their doc_id range,
-    descending, and one more row per range: the first of the next one."""
+def _above(cuts: list[int], value: Column) -> Column:
+    """How many of the (ascending) cuts are not below the value: binary search."""
+    held = F.split(F.lit(",".join(map(str, cuts))), ",").cast("array<bigint>")
+
+    def halve(span: Column, _: Column) -> Column:
+        middle = F.floor((span["lo"] + span["hi"]) / 2).cast("int")
+        below = (span["lo"] < span["hi"]) & (F.get(held, middle) < value)
+        return F.struct(F.when(below, middle + 1).otherwise(span["lo"]).alias("lo"),
+                        F.when(below, span["hi"]).otherwise(middle).alias("hi"))
+
+    steps = F.sequence(F.lit(0), F.lit(len(cuts).bit_length()))
+    first = F.struct(F.lit(0).alias("lo"), F.lit(len(cuts)).alias("hi"))
+    return F.lit(len(cuts)) - F.aggregate(steps, first, halve, lambda span: span["lo"])
+
+
+def _ranges(rows: DataFrame, n: int) -> DataFrame:
+    """``rows`` (doc_id, text, tie) with the number of their doc_id range, of
+    about n, descending, and one more row per range: the first of the next."""
     spark = rows.sparkSession
-    n = min(MAX_RANGES, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    cuts = rows.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)] or [0.5], 10_000)).first()[0]
-    cuts = sorted(set(cuts or []))
-    above = F.array(*[F.lit(c) for c in cuts]).cast("array<bigint>")
-    number = F.when(F.col("doc_id").isNull(), len(cuts) + 1).otherwise(
-        F.size(F.filter(above, lambda c: c >= F.col("doc_id"))))
+    cuts = rows.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)] or [0.5],
+                                        max(10_000, 4 * n))).first()[0]
+    cuts = sorted(set(cuts or []))[: n - 1]
+    above = _above(cuts, F.col("doc_id")) if cuts else F.lit(0)
+    number = F.when(F.col("doc_id").isNull(), len(cuts) + 1).otherwise(above)
     placed = rows.withColumn("range", number.cast("int"))
     # one short row per range: its first document in descending order
     heads = sorted(placed.groupBy("range").agg(F.max(F.struct("doc_id", "tie")).alias("h"))
@@ -201,9 +215,8 @@ def edited(docs: DataFrame) -> DataFrame:
     replaced by the beginning of the next document, descending doc_id)."""
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("tie"))
-    ranged = _ranges(rows)
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = ranged.repartition(n, "range").sortWithinPartitions(
+    n = min(MAX_RANGES, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ordered = _ranges(rows, n).repartitionById(n + 1, F.col("range")).sortWithinPartitions(
         "range", "ahead", F.col("doc_id").desc_nulls_last(), F.col("tie").desc())
     return ordered.select("range", "ahead", "doc_id", "text").mapInArrow(
         _edits, "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, "
