@@ -80,11 +80,14 @@ def utf8_texts(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
 
 
 def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows of ``batches`` in batches of about SLICE_BYTES."""
+    """The rows of ``batches`` in batches of about SLICE_BYTES. Memory of a
+    finished batch goes back to the system: workers outlive their tasks."""
     for batch in batches:
         rows = max(1, batch.num_rows * SLICE_BYTES // max(batch.nbytes, 1))
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+        del batch
+        pa.default_memory_pool().release_unused()
 
 
 def add_columns(df: DataFrame, inputs: list[str], outputs: str,
