@@ -522,28 +522,27 @@ def _wms_and_load(t: DriverTables) -> DataFrame:
         extra=[F.sum("l_quantity").alias("final_litres"), F.max("load").alias("top_load")])
 
 
-def _rebate_prices(t: DriverTables, bo: DataFrame, delivery: bool) -> DataFrame:
+def _rebate_prices(t: DriverTables, bo: DataFrame) -> DataFrame:
     """Purchase price from the customer's price band valid at the order
     date, newest band first. Collection: raw bounds, '>' when open-ended,
     grid price - rebate. Delivery: day-snapped bounds, '>=' from the snapped
-    start, (adjusted price if > 0 else price) - rebate."""
-    pts = bo.filter(F.col("is_for_delivery") == F.lit(delivery)).select(
-        "order_key", "cust", "invoice_date", "grid_price", "buyer_price", "adjusted_price")
-    bands = _price_bands(t).withColumn(
-        "rebate_dec", F.col("rebate").cast("decimal(18,2)") * F.lit(Decimal("0.0001")))
-    own = ["order_key", "grid_price", "buyer_price", "adjusted_price"]
-    how = dict(at="invoice_date", lower=F.col("eff_from"), is_open=_open(),
-               newest=["eff_from", "band_order"], bucket_days=VALIDITY_BUCKET_DAYS)
-    if delivery:
-        best = newest_valid(pts, bands, [("cust", "band_cust")], own, upper=end_of_snapped_day("eff_to"),
-                            open_lower=snap_to_day("eff_from"), open_inclusive=True, **how)
-        price = F.when(F.col("adjusted_price") > 0, F.col("adjusted_price") - F.col("rebate_dec")) \
-            .otherwise(F.col("buyer_price") - F.col("rebate_dec"))
-    else:
-        best = newest_valid(pts, bands, [("cust", "band_cust")], own, upper=F.col("eff_to"), **how)
-        price = F.col("grid_price") - F.col("rebate_dec")
-    name = "delivery_price" if delivery else "collection_price"
-    return best.select(F.col("order_key").alias(f"{name}_key"), price.alias(name))
+    start, (adjusted price if > 0 else price) - rebate. An order is one or the
+    other: one pass, with the bounds of its kind."""
+    bands = _price_bands(t).select(
+        "*", (F.col("rebate").cast("decimal(18,2)") * F.lit(Decimal("0.0001"))).alias("rebate_dec"),
+        F.explode(F.array(F.lit(False), F.lit(True))).alias("band_delivery"))
+    snapped = F.col("band_delivery")
+    own = ["order_key", "is_for_delivery", "grid_price", "buyer_price", "adjusted_price"]
+    best = newest_valid(
+        bo.select(*own, "cust", "invoice_date"), bands,
+        [("cust", "band_cust"), ("is_for_delivery", "band_delivery")], own, at="invoice_date",
+        lower=F.col("eff_from"), upper=F.when(snapped, end_of_snapped_day("eff_to")).otherwise(F.col("eff_to")),
+        is_open=_open(), newest=["eff_from", "band_order"],
+        open_lower=F.when(snapped, snap_to_day("eff_from")).otherwise(F.col("eff_from")),
+        open_inclusive=snapped, bucket_days=VALIDITY_BUCKET_DAYS)
+    base = F.when(~F.col("is_for_delivery"), F.col("grid_price")) \
+        .when(F.col("adjusted_price") > 0, F.col("adjusted_price")).otherwise(F.col("buyer_price"))
+    return best.select(F.col("order_key").alias("rebate_key"), (base - F.col("rebate_dec")).alias("rebate_price"))
 
 
 # Buyer orders with pivoted linked amounts, the newest load, rebate
@@ -570,10 +569,7 @@ def buyer_orders(spark, sf_dir) -> DataFrame:
     # so they are already partitioned by it), then the lookups by supplier.
     j = (bo.join(pd, F.col("order_key") == F.col("pd_key"), "left")
          .join(load, F.col("order_key") == F.col("l_orderkey"), "left")
-         .join(_rebate_prices(t, bo, False), F.col("order_key") == F.col("collection_price_key"),
-               "left")
-         .join(_rebate_prices(t, bo, True), F.col("order_key") == F.col("delivery_price_key"),
-               "left")
+         .join(_rebate_prices(t, bo), F.col("order_key") == F.col("rebate_key"), "left")
          .join(supp, F.col("load_supp") == F.col("s_suppkey"), "left")
          .join(nat, F.col("s_nationkey") == F.col("n_nationkey"), "left")
          .join(tr, F.col("transporter_id") == F.col("r_regionkey"), "left"))
@@ -585,7 +581,7 @@ def buyer_orders(spark, sf_dir) -> DataFrame:
     fallback = F.when(has_comm, half_up_ratio(F.col("price_units") * units_l - comm_units * 10,
                                               units_l * 100000, 4)) \
         .otherwise(F.lit(0).cast("decimal(18,4)"))
-    purchase = F.round(F.coalesce(F.col("collection_price"), F.col("delivery_price"), fallback),
+    purchase = F.round(F.coalesce(F.col("rebate_price"), fallback),
                        4).cast("decimal(18,4)")
     days = calendar_day_diff("payment_date", "invoice_date")
     interest_wms = F.col("interest_wms")

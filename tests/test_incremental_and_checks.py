@@ -13,8 +13,9 @@ from litreflow.checks import Check, failed_errors, run_checks
 from litreflow.constants import NIL_GUID
 from litreflow.plans import fuelcard
 from litreflow.plans.job import run_tagged
-from litreflow.session import folder_exists, shared_dir
+from litreflow.session import shared_dir
 from litreflow.sinks import database_for, merge_by_partition_rewrite, write_table
+from litreflow.sinks.incremental import read_target
 from litreflow.sources.schemas import SCHEMAS
 
 D = dt.datetime
@@ -189,10 +190,10 @@ def test_rows_without_a_month_are_kept(spark):
 def test_first_run_rejects_repeated_keys(spark):
     path = _target(spark)
     rows = [(dt.date(2025, 1, 1), "k", 1.0), (dt.date(2025, 1, 1), "k", 2.0)]
-    with pytest.raises(ValueError):
+    with pytest.raises(Exception, match="several rows for one key"):
         merge_by_partition_rewrite(spark, lambda m: spark.createDataFrame(rows, "Date date, k string, v double"),
                                    path, ["Date", "k"], "Date")
-    assert not folder_exists(spark, path)                   # nothing was written
+    assert read_target(spark, path) is None                 # nothing was written
 
 
 def test_rerun_changes_nothing_and_leaves_no_staging(spark):
@@ -218,7 +219,6 @@ def test_full_rebuild_drops_vanished_days(spark):
 
 
 def test_unreadable_target_is_not_a_first_run(spark, tmp_path):
-    from litreflow.sinks.incremental import read_target
     assert read_target(spark, str(tmp_path / "none")) is None
     (tmp_path / "empty").mkdir()
     assert read_target(spark, str(tmp_path / "empty")) is None
