@@ -5,6 +5,7 @@ import hashlib
 import random
 from collections import defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -96,7 +97,7 @@ def test_best_fit_matches_brute_force():
 
 
 def test_packing_is_lossless(spark, reference):
-    import numpy as np
+
     docs = H.odd_docs(spark)
     rows = packing.pack(docs, row_length=256, bucket_chars=50_000).collect()
     found = defaultdict(lambda: defaultdict(list))
@@ -120,3 +121,27 @@ def test_packing_does_not_depend_on_partitions(spark):
     one, many = (packing.pack(d, 128, bucket_chars=40_000).drop("doc_ids", "parts")
                  for d in (docs.coalesce(1), docs.repartition(7)))
     assert sorted(map(repr, one.collect())) == sorted(map(repr, many.collect()))
+
+
+def test_matrix_merging_equals_one_by_one():
+    vocab = bpe._vocabulary(bpe.VOCABULARY)
+    rng = random.Random(12)
+    for size in (1, 2, 3, 7, 19, 40):
+        words = ["".join(rng.choice("aeinrst hlé") for _ in range(size)).encode()[:size] for _ in range(200)]
+        words = [w for w in words if len(w) == size]
+        got = vocab.merge_rows(words)
+        one = {w: np.array(vocab._merge_long(w), dtype="<i4").tobytes() for w in words}
+        # a slice that is one token is looked up before merging
+        assert got == [one[w] for w in words]
+
+
+def test_results_do_not_depend_on_the_cache(monkeypatch):
+    rng = random.Random(14)
+    docs = [H.words(rng, 400, 3000) for _ in range(60)]
+    want = [x.tolist() for x in bpe.encode_texts(docs)[0]]
+    monkeypatch.setattr(bpe, "CACHE_SLICES", 40)
+    bpe._vocabulary.cache_clear()
+    assert [x.tolist() for d in docs for x in bpe.encode_texts([d])[0]] == want
+    vocab = bpe._vocabulary(bpe.VOCABULARY)
+    assert len(vocab.old) < 3000 and len(vocab.young) < 3000
+    bpe._vocabulary.cache_clear()
