@@ -50,3 +50,14 @@ def test_stream_rebuilds_touched_days(spark):
     got = rows(spark.read.parquet(target).drop("month"))
     assert got == rows(fuelcard.data_tool(src))
     assert (dt.date(2025, 3, 1), NIL_GUID, 17.0) in got
+
+
+def test_days_are_read_in_runs():
+    import datetime as dt
+    from litreflow.plans.incremental_demo import consecutive
+    day = lambda n: dt.date(2024, 1, 1) + dt.timedelta(days=n)
+    assert consecutive([day(5), day(0), day(1), day(6)]) == [(day(0), day(1)), (day(5), day(6))]
+    assert consecutive([day(3)]) == [(day(3), day(3))]
+    many = consecutive([day(n * n) for n in range(100)], most=4)
+    assert len(many) == 4 and many[0][0] == day(0) and many[-1][1] == day(99 * 99)
+    assert all(a[1] < b[0] for a, b in zip(many, many[1:]))
