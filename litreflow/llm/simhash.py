@@ -131,7 +131,9 @@ def links(prints: DataFrame, radius: int = 3, bands: int = 5) -> DataFrame:
     keyed = prints.select("fp", F.explode(F.array(*[
         F.struct(F.lit(i).alias("band"), F.col("fp").bitwiseAND(F.lit(m)).alias("key"))
         for i, m in enumerate(signed)])).alias("k")).select("fp", "k.band", "k.key")
-    shared = keyed.groupBy("band", "key").count().filter("count > 1")
+    # written, like the least neighbours below: a join can be split over tasks
+    # at a hot key only where both of its sides are plain shuffles
+    shared = checkpointed(keyed.groupBy("band", "key").count().filter("count > 1"))
     met = keyed.join(shared, ["band", "key"])
     small = met.filter(F.col("count") <= TILE).select(
         F.xxhash64("band", "key").alias("tile"), "fp")
@@ -173,10 +175,11 @@ def connected(edges: DataFrame) -> DataFrame:
     before = state(edges)
     while before[0]:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
+        least = checkpointed(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")))
         large = (both.join(least, "a").filter("b > a")
                  .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
-        small_least = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = checkpointed(large)
+        small_least = checkpointed(large.groupBy("a").agg(F.min("b").alias("m")))
         small = (large.join(small_least, "a").filter("b <> m")
                  .select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(small_least.select("a", F.col("m").alias("b"))).distinct())
