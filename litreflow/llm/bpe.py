@@ -354,6 +354,10 @@ class Vocabulary:
             young.update(fresh)
         return list(map(known.__getitem__, slices))
 
+    def forget(self) -> None:
+        """Drop the cached slices."""
+        self.young, self.old = {}, {}
+
 
 @lru_cache(maxsize=2)
 def _vocabulary(name: str) -> Vocabulary:
@@ -402,7 +406,8 @@ def encode(df: DataFrame, text: str = "text", vocabulary: str = VOCABULARY) -> D
     slices start in the UTF-8 text)."""
     keep = [c for c in df.columns if c not in ("ids", "offsets")]
     return add_columns(df, [text], "ids array<int>, offsets array<int>",
-                       lambda col: [_lists(x) for x in encode_texts(texts(col), vocabulary)], keep)
+                       lambda col: [_lists(x) for x in encode_texts(texts(col), vocabulary)], keep,
+                       done=lambda: _vocabulary(vocabulary).forget())
 
 
 def decode(df: DataFrame, ids: str = "ids", vocabulary: str = VOCABULARY) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import re
 import tempfile
@@ -88,14 +89,26 @@ def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(at, rows)
         del batch
         pa.default_memory_pool().release_unused()
+    return_memory()
+
+
+def return_memory() -> None:
+    """Give freed memory back to the system at the end of a task: an idle
+    worker's share counts against its executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
 
 
 def add_columns(df: DataFrame, inputs: list[str], outputs: str,
-                fn: Callable[..., list[pa.Array]], pass_through: list[str]) -> DataFrame:
+                fn: Callable[..., list[pa.Array]], pass_through: list[str],
+                done: Callable[[], None] | None = None) -> DataFrame:
     """``pass_through`` columns plus what ``fn`` computes from ``inputs``.
 
     ``fn`` gets one Arrow array per input column of a batch and returns one
-    array per output field. Rows stay in their partition.
+    array per output field. Rows stay in their partition. ``done`` is called
+    at the end of each task, to drop what ``fn`` has cached.
     """
     added = T.StructType.fromDDL(outputs)
     schema = T.StructType([df.schema[c] for c in pass_through] + added.fields)
@@ -107,6 +120,10 @@ def add_columns(df: DataFrame, inputs: list[str], outputs: str,
             made = fn(*[batch.column(batch.schema.get_field_index(c)) for c in inputs])
             kept = [batch.column(batch.schema.get_field_index(c)) for c in pass_through]
             yield pa.RecordBatch.from_arrays(kept + made, names=names)
+        if done is not None:
+            made = kept = batch = None
+            done()
+            return_memory()
 
     return source.mapInArrow(run, schema)
 
