@@ -188,6 +188,22 @@ def test_common_subsequence():
         assert substring._common(a, b) == row[-1]
 
 
+def test_two_passages_around_a_gap_are_both_found(spark, tmp_path):
+    rng = random.Random(21)
+    rows, want = [], {}
+    for k, (size, gap) in enumerate((s, g) for s in (60, 100, 200) for g in (20, 40, 60, 100, 150, 400)):
+        p, q = (H.words(rng, size, 200_000) for _ in range(2))
+        for doc in (2 * k, 2 * k + 1):
+            text = " ".join([H.words(rng, 80, 200_000), p, H.words(rng, gap, 200_000), q, H.words(rng, 90, 200_000)])
+            rows.append((doc, text, "en", "s", 1))
+        want[2 * k + 1] = [(80, 80 + size), (80 + size + gap, 80 + 2 * size + gap)]
+    sf = H.tables(tmp_path, spark, documents=spark.createDataFrame(rows, H.SCHEMA))
+    got = {}
+    for r in substring.op8_substring(spark, sf).collect():
+        got.setdefault(r["doc_id"], set()).add((r["passage_start"], r["passage_start"] + r["passage_words"]))
+    assert {k: sorted(v) for k, v in got.items()} == want
+
+
 # -- op1 ---------------------------------------------------------------------
 def true_likeness(a, b):
     wa, wb = Counter(fingerprints.terms(a.encode()).tolist()), Counter(fingerprints.terms(b.encode()).tolist())
