@@ -204,6 +204,39 @@ def test_two_passages_around_a_gap_are_both_found(spark, tmp_path):
     assert {k: sorted(v) for k, v in got.items()} == want
 
 
+def test_a_passage_whose_pieces_occur_in_other_documents_before(spark, tmp_path):
+    rng = random.Random(22)
+    rows = []
+    for k in range(8):  # 15-word pieces in two documents each, then the whole in two
+        passage = H.words(rng, 75, 200_000).split()
+        texts = [" ".join(passage[15 * i : 15 * i + 15]) for i in range(5) for _ in range(2)]
+        texts += [" ".join(passage)] * 2
+        rows += [(20 * k + i, f"{H.words(rng, 80, 200_000)} {t} {H.words(rng, 70, 200_000)}", "en", "s", 1)
+                 for i, t in enumerate(texts)]
+    sf = H.tables(tmp_path, spark, documents=spark.createDataFrame(rows, H.SCHEMA))
+    got = {(r["doc_id"], r["source_id"], r["passage_start"], r["passage_words"])
+           for r in substring.op8_substring(spark, sf).collect()}
+    assert got == {(20 * k + 11, 20 * k + 10, 80, 75) for k in range(8)}
+
+
+def test_places_do_not_depend_on_the_batches():
+    rng = random.Random(23)
+    rows = sorted((rng.randrange(6), rng.randrange(9), i) for i in range(120))
+    want = []
+    for seed, doc, at in rows:
+        docs = sorted({d for s, d, _ in rows if s == seed})
+        places = [a for s, d, a in rows if (s, d) == (seed, doc)]
+        if doc != docs[0]:
+            want.append((seed, doc, at, docs.index(doc), at == places[0], docs[0],
+                         min(a for s, d, a in rows if (s, d) == (seed, docs[0]))))
+    for size in (1, 2, 7, 200):
+        batches = [substring.pa.RecordBatch.from_arrays(
+            [substring.pa.array(list(c)) for c in zip(*rows[a : a + size])], names=["seed", "doc", "at"])
+            for a in range(0, len(rows), size)]
+        got = [tuple(r.values()) for b in substring._placed(iter(batches)) for r in b.to_pylist()]
+        assert got == want
+
+
 # -- op1 ---------------------------------------------------------------------
 def true_likeness(a, b):
     wa, wb = Counter(fingerprints.terms(a.encode()).tolist()), Counter(fingerprints.terms(b.encode()).tolist())
