@@ -253,6 +253,20 @@ def test_edited_passages_are_found(spark, tmp_path):
     assert got <= {(2 * k + 1, 2 * k) for k in range(60)} and len(got) >= 57
 
 
+def test_passages_of_a_repeated_line_are_found(spark, tmp_path):
+    rng = random.Random(25)
+    rows, want = [], {}
+    for k, (line, size) in enumerate((x, n) for x in (2, 4, 8, 12, 16, 18) for n in (60, 96, 400)):
+        passage = " ".join([H.words(rng, line, 200_000)] * -(-size // line))
+        rows += [(3 * k + i, f"{H.words(rng, 80, 200_000)} {passage} {H.words(rng, 70, 200_000)}", "en", "s", 1)
+                 for i in range(3)]
+        want |= {3 * k + i: (80, -(-size // line) * line) for i in (1, 2)}
+    sf = H.tables(tmp_path, spark, documents=spark.createDataFrame(rows, H.SCHEMA))
+    found = substring.op8_substring(spark, sf).collect()
+    assert {(r["doc_id"], r["passage_start"], r["passage_words"]) for r in found} == {
+        (doc, *x) for doc, x in want.items()}
+
+
 # -- op1 ---------------------------------------------------------------------
 def true_likeness(a, b):
     wa, wb = Counter(fingerprints.terms(a.encode()).tolist()), Counter(fingerprints.terms(b.encode()).tolist())
