@@ -231,8 +231,8 @@ def test_places_do_not_depend_on_the_batches():
                          min(a for s, d, a in rows if (s, d) == (seed, docs[0]))))
     for size in (1, 2, 7, 200):
         batches = [substring.pa.RecordBatch.from_arrays(
-            [substring.pa.array(list(c)) for c in zip(*[(*r, 0) for r in rows[a : a + size]])],
-            names=["seed", "doc", "at", "sides"]) for a in range(0, len(rows), size)]
+            [substring.pa.array(list(c)) for c in zip(*[(s, d, 0, x, 0) for s, d, x in rows[a : a + size]])],
+            names=["seed", "doc", "text_key", "at", "sides"]) for a in range(0, len(rows), size)]
         names = ("seed", "doc", "at", "place", "lead", "source", "source_at")
         got = [tuple(r[k] for k in names) for b in substring._placed(iter(batches)) for r in b.to_pylist()]
         assert got == want
@@ -267,6 +267,27 @@ def test_passages_of_a_repeated_line_are_found(spark, tmp_path):
         (doc, *x) for doc, x in want.items()}
 
 
+def test_texts_of_one_id_and_of_null_ids_are_compared(spark):
+    rng = random.Random(26)
+    rows = []
+    for ids in ([None] * 4, [7] * 4):
+        passage = H.words(rng, 70, 200_000)
+        rows += [(i, f"{H.words(rng, 80, 200_000)} {passage} {H.words(rng, 70, 200_000)}", "en", "s", 1) for i in ids]
+    rows += [rows[0]] * 2  # rows with the same id and text are one document
+    left = substring.cut(spark.createDataFrame(rows, H.SCHEMA)).collect()
+    assert len(left) == len(rows)
+    for doc in (None, 7):
+        sizes = {r["text"]: len(r["text"].split()) for r in left if r["doc_id"] == doc}
+        assert sorted(sizes.values()) == [150, 150, 150, 220]
+
+
+def test_a_seed_counts_only_where_its_words_match():
+    rng = random.Random(27)
+    a, b = (substring.word_hashes(H.words(rng, 40, 200_000).encode(), substring.WORD_BYTES)[0] for _ in range(2))
+    assert substring.aligned(a, b, [0, 5, 10, 15, 20], [0, 5, 10, 15, 20]) == []
+    assert substring.aligned(a, a, [5, 20], [5, 20]) == [(0, 40, 1.0)]
+
+
 # -- op1 ---------------------------------------------------------------------
 def true_likeness(a, b):
     wa, wb = Counter(fingerprints.terms(a.encode()).tolist()), Counter(fingerprints.terms(b.encode()).tolist())
