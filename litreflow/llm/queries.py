@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (bpe, chat, decontam, fingerprints, langid, packing, pattern_packing, quality,
-               simhash, substring, toxicity)
+from . import (bpe, chat, decontam, fingerprints, langid, packing, pattern_packing,
+               periodic_runs, quality, simhash, substring, toxicity)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -23,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_byte_bpe": bpe.op9_byte_bpe,
         "op10_toxicity": toxicity.op10_toxicity,
         "op11_pattern_packing": pattern_packing.op11_pattern_packing,
+        "op12_periodic_runs": periodic_runs.op12_periodic_runs,
     }
 
 
