@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (bpe, chat, decontam, fingerprints, langid, packing, pattern_packing,
+from . import (bpe, chat, decontam, filter_audit, fingerprints, langid, packing, pattern_packing,
                periodic_runs, quality, simhash, substring, toxicity)
 
 
@@ -24,6 +24,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_toxicity": toxicity.op10_toxicity,
         "op11_pattern_packing": pattern_packing.op11_pattern_packing,
         "op12_periodic_runs": periodic_runs.op12_periodic_runs,
+        "op13_filter_audit": filter_audit.op13_filter_audit,
     }
 
 
@@ -31,4 +32,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_decontamination": decontam.ORACLE,
         "op5_chat": chat.ORACLE,
+        "op13_filter_audit": filter_audit.ORACLE,
     }
