@@ -32,7 +32,9 @@ length takes which place may differ.
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 from functools import lru_cache
@@ -44,7 +46,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import char_groups, checkpointed, return_memory, slices, table, texts
+from .common import char_groups, checkpointed, return_memory, slices, table, utf8_texts
 
 VOCABULARY = "word_bpe_49k.json"
 SEQUENCE_LENGTH = 4096
@@ -55,6 +57,8 @@ SHAPES = ((128, 2), (64, 3), (128, 3), (64, 4), (256, 2))
 GROUP_PIECES = 4096
 #: Characters that the tokenizer works on at once (its results are large).
 BATCH_CHARS = 300_000
+#: Words of which the ids are kept, and the longest of them in bytes.
+HELD_WORDS, HELD_BYTES = 500_000, 80
 
 
 # -- pieces ----------------------------------------------------------------
@@ -67,12 +71,86 @@ def _tokenizer(name_or_path: str) -> Tokenizer:
     return made
 
 
-def encode_texts(docs: list[str], vocabulary: str = VOCABULARY, end_id: int = END_ID) -> Iterator[np.ndarray]:
-    """Little-endian unsigned 32-bit ids of every text, the end id last."""
-    encode = _tokenizer(vocabulary).encode_batch_fast
-    for a, b in char_groups(docs, BATCH_CHARS):
-        for found in encode(docs[a:b], add_special_tokens=False):
-            yield np.array([*found.ids, end_id], dtype="<u4")
+#: Lower-case letters, each one letter in either case, and marks after a word.
+_PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
+_MARKS = ".,;:!?"
+
+
+class WordIds:
+    """Ids of texts, from the ids of their words.
+
+    No token spans ASCII white space, and neither normalisation nor splitting
+    looks across it, so a text's ids are those of its words between white
+    space, each encoded once by the library and kept while there is room. Words
+    of letters only are one unit of the tokenizer each: many are encoded as one
+    text and told apart by the tokens that end a unit.
+    """
+
+    def __init__(self, vocabulary: str) -> None:
+        made = _tokenizer(vocabulary)
+        self.encode = made.encode_batch_fast
+        self.held: dict[bytes, bytes] = {}
+        self.letters: dict[str, bytes] = {}
+        suffix = getattr(made.model, "end_of_word_suffix", None)
+        self.ends = None
+        if suffix:
+            self.ends = np.zeros(made.get_vocab_size(), dtype=bool)
+            self.ends[[i for token, i in made.get_vocab().items() if token.endswith(suffix)]] = True
+
+    def __call__(self, docs: list[bytes]) -> Iterator[bytes]:
+        """Little-endian unsigned 32-bit ids of every text."""
+        for a, b in char_groups(docs):
+            words = [t.split() for t in docs[a:b]]
+            if len(self.held) > HELD_WORDS:
+                self.held.clear()
+                self.letters.clear()
+            long = self._learn([w for w in set().union(*words) if w not in self.held])
+            known = {**self.held, **long} if long else self.held
+            for own in words:
+                yield b"".join(map(known.__getitem__, own))
+
+    def _learn(self, new: list[bytes]) -> dict[bytes, bytes]:
+        """Keep the ids of new words; those too long to be kept are returned."""
+        strings = b" ".join(new).decode("utf-8", "replace").split(" ") if new else []
+        plain: list[tuple[bytes, str, str]] = []
+        whole: list[int] = []
+        for i, string in enumerate(strings):
+            low = string.lower()
+            letters = low.rstrip(_MARKS)
+            if (letters.isascii() and letters.isalpha() or _PLAIN.fullmatch(letters)) and len(letters) < HELD_BYTES // 2:
+                plain.append((new[i], letters, low[len(letters):]))
+            else:
+                whole.append(i)
+        if self.ends is None:
+            plain, whole = [], list(range(len(new)))
+        held, known = self.held, self.letters
+        unknown = list({x for _, x, _ in plain if x not in known})
+        for i, j in char_groups(unknown, BATCH_CHARS):
+            known.update(zip(unknown[i:j], self._units(unknown[i:j])))
+        marks = list({x for _, _, x in plain if x})
+        of_mark = dict(zip(marks, self._each(marks)), **{"": b""})
+        held.update([(word, known[x] + of_mark[mark]) for word, x, mark in plain])
+        long = {}
+        for i, ids in zip(whole, self._each([strings[i] for i in whole])):
+            (held if len(new[i]) <= HELD_BYTES else long)[new[i]] = ids
+        return long
+
+    def _each(self, strings: list[str]) -> Iterator[bytes]:
+        for i, j in char_groups(strings, BATCH_CHARS):
+            for found in self.encode(strings[i:j], add_special_tokens=False):
+                yield array("I", found.ids).tobytes()
+
+    def _units(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of words of letters, encoded as one text."""
+        ids = np.array(self.encode([" ".join(words)], add_special_tokens=False)[0].ids, dtype="<u4")
+        cuts = np.flatnonzero(self.ends[ids]) + 1
+        if len(cuts) != len(words):  # not one unit each
+            yield from self._each(words)
+            return
+        raw, at = ids.tobytes(), 0
+        for cut in (4 * cuts).tolist():
+            yield raw[at:cut]
+            at = cut
 
 
 def pieces(docs: DataFrame, sequence_length: int = SEQUENCE_LENGTH, vocabulary: str = VOCABULARY,
@@ -84,19 +162,22 @@ def pieces(docs: DataFrame, sequence_length: int = SEQUENCE_LENGTH, vocabulary:
         fields.append(("ids", pa.binary()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids_of, end = WordIds(vocabulary), array("I", [end_id]).tobytes()
         for batch in slices(batches):
             rows, counts = [], []
-            for ids in encode_texts(texts(batch.column(1)), vocabulary, end_id):
-                cuts = range(0, len(ids), sequence_length)
+            for ids in ids_of(utf8_texts(batch.column(1))):
+                ids += end
+                cuts = range(0, len(ids), 4 * sequence_length)
                 counts.append(len(cuts))
                 for k, at in enumerate(cuts):
-                    raw = ids[at : at + sequence_length].tobytes()
-                    rows.append((k, at, len(raw) // 4, zlib.crc32(raw), raw)[: len(fields)])
+                    raw = ids[at : at + 4 * sequence_length]
+                    rows.append((k, at // 4, len(raw) // 4, zlib.crc32(raw), raw)[: len(fields)])
             doc = batch.column(0).take(pa.array(np.repeat(np.arange(len(counts)), counts)))
             columns = list(zip(*rows)) or [()] * len(fields)
             yield pa.RecordBatch.from_arrays(
                 [doc, *[pa.array(c, kind) for c, (_, kind) in zip(columns, fields)]],
                 names=["doc_id", *[name for name, _ in fields]])
+        del ids_of
         return_memory()
 
     schema = (f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, piece int, start bigint, length int, "

@@ -146,6 +146,29 @@ def test_odd_documents(spark, tmp_path):
     assert used == least
 
 
+def test_word_ids_equal_the_library_for_every_code_point():
+    t = Tokenizer.from_file(public_tokenizers.path(P.VOCABULARY))
+    t.encode_special_tokens = True
+    rng = random.Random(1)
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    docs = ["".join(f"a{chr(c)}1{chr(c)} {chr(c)}'s{chr(c)}" for c in points[i : i + 64])
+            for i in range(0, len(points), 64)]
+    parts = [*" \t\n\r\x0b\x0c\x1c\x1d\x85\xa0\u3000 abé1²'sΣσÉ\u0301\u0302İßŉ日本.,-!", "'re", "<|endoftext|>", "ΣΑΣ "]
+    docs += ["".join(rng.choice(parts) for _ in range(rng.randrange(40))) for _ in range(5000)]
+    want = [np.array(x.ids, dtype="<u4").tobytes() for x in t.encode_batch(docs, add_special_tokens=False)]
+    assert list(P.WordIds(P.VOCABULARY)([d.encode() for d in docs])) == want
+
+
+def test_words_are_forgotten_and_learnt_again(monkeypatch):
+    rng = random.Random(2)
+    docs = [H.words(rng, 200, 5000).encode() for _ in range(40)] + [b"x" * 500, b"x" * 500]
+    want = list(P.WordIds(P.VOCABULARY)(docs))
+    monkeypatch.setattr(P, "HELD_WORDS", 50)
+    monkeypatch.setattr(P, "BATCH_CHARS", 100)
+    monkeypatch.setattr("litreflow.llm.common.GROUP_CHARS", 3000)
+    assert list(P.WordIds(P.VOCABULARY)(docs)) == want
+
+
 def test_empty_table(spark, tmp_path):
     sf = H.tables(tmp_path, spark, documents=H.empty_docs(spark))
     assert P.op11_pattern_packing(spark, sf).collect() == []
