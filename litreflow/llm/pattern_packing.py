@@ -44,7 +44,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from .common import char_groups, checkpointed, return_memory, slices, table, utf8_texts
 
@@ -62,12 +62,18 @@ HELD_WORDS, HELD_BYTES = 500_000, 80
 
 
 # -- pieces ----------------------------------------------------------------
-@lru_cache(maxsize=2)
-def _tokenizer(name_or_path: str) -> Tokenizer:
+@lru_cache(maxsize=4)
+def _tokenizer(name_or_path: str, plain: bool = False) -> Tokenizer:
+    """The tokenizer; ``plain``: for lower-case words of letters with one space
+    between, which need neither normalisation nor the splitting pattern."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
     path = name_or_path if "/" in name_or_path else public_tokenizers.path(name_or_path)
     made = Tokenizer.from_file(path)
     made.encode_special_tokens = True
+    if plain:
+        made.normalizer = None
+        made.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
     return made
 
 
@@ -89,6 +95,7 @@ class WordIds:
     def __init__(self, vocabulary: str) -> None:
         made = _tokenizer(vocabulary)
         self.encode = made.encode_batch_fast
+        self.encode_plain = _tokenizer(vocabulary, plain=True).encode_batch_fast
         self.held: dict[bytes, bytes] = {}
         self.letters: dict[str, bytes] = {}
         suffix = getattr(made.model, "end_of_word_suffix", None)
@@ -111,25 +118,33 @@ class WordIds:
 
     def _learn(self, new: list[bytes]) -> dict[bytes, bytes]:
         """Keep the ids of new words; those too long to be kept are returned."""
-        strings = b" ".join(new).decode("utf-8", "replace").split(" ") if new else []
+        if not new:
+            return {}
+        strings = b" ".join(new).decode("utf-8", "replace").split(" ")
+        held, letters = self.held, self.letters
         plain: list[tuple[bytes, str, str]] = []
         whole: list[int] = []
-        for i, string in enumerate(strings):
-            low = string.lower()
-            letters = low.rstrip(_MARKS)
-            if (letters.isascii() and letters.isalpha() or _PLAIN.fullmatch(letters)) and len(letters) < HELD_BYTES // 2:
-                plain.append((new[i], letters, low[len(letters):]))
+        unknown: dict[str, None] = {}
+        is_plain, marks = _PLAIN.fullmatch, {""}
+        for i, word in enumerate(new):
+            low = strings[i].lower()
+            stem = low.rstrip(_MARKS)
+            if len(word) <= HELD_BYTES and is_plain(stem) and self.ends is not None:
+                mark = low[len(stem):]
+                if mark not in marks:
+                    marks.add(mark)
+                if stem not in letters:
+                    unknown[stem] = None
+                plain.append((word, stem, mark))
             else:
                 whole.append(i)
-        if self.ends is None:
-            plain, whole = [], list(range(len(new)))
-        held, known = self.held, self.letters
-        unknown = list({x for _, x, _ in plain if x not in known})
-        for i, j in char_groups(unknown, BATCH_CHARS):
-            known.update(zip(unknown[i:j], self._units(unknown[i:j])))
-        marks = list({x for _, _, x in plain if x})
-        of_mark = dict(zip(marks, self._each(marks)), **{"": b""})
-        held.update([(word, known[x] + of_mark[mark]) for word, x, mark in plain])
+        stems = list(unknown)
+        for i, j in char_groups(stems, BATCH_CHARS):
+            letters.update(zip(stems[i:j], self._units(stems[i:j])))
+        marks.remove("")
+        of_mark = dict(zip(marks, self._each(list(marks))))
+        of_mark[""] = b""
+        held.update([(word, letters[stem] + of_mark[mark]) for word, stem, mark in plain])
         long = {}
         for i, ids in zip(whole, self._each([strings[i] for i in whole])):
             (held if len(new[i]) <= HELD_BYTES else long)[new[i]] = ids
@@ -142,7 +157,7 @@ class WordIds:
 
     def _units(self, words: list[str]) -> Iterator[bytes]:
         """Ids of words of letters, encoded as one text."""
-        ids = np.array(self.encode([" ".join(words)], add_special_tokens=False)[0].ids, dtype="<u4")
+        ids = np.array(self.encode_plain([" ".join(words)], add_special_tokens=False)[0].ids, dtype="<u4")
         cuts = np.flatnonzero(self.ends[ids]) + 1
         if len(cuts) != len(words):  # not one unit each
             yield from self._each(words)
@@ -153,6 +168,12 @@ class WordIds:
             at = cut
 
 
+@lru_cache(maxsize=1)
+def _word_ids(vocabulary: str) -> WordIds:
+    """One per worker: the next tasks have many of the same words."""
+    return WordIds(vocabulary)
+
+
 def pieces(docs: DataFrame, sequence_length: int = SEQUENCE_LENGTH, vocabulary: str = VOCABULARY,
            end_id: int = END_ID, with_ids: bool = True) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 and, if asked for, ids (binary)
@@ -162,7 +183,7 @@ def pieces(docs: DataFrame, sequence_length: int = SEQUENCE_LENGTH, vocabulary:
         fields.append(("ids", pa.binary()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, end = WordIds(vocabulary), array("I", [end_id]).tobytes()
+        ids_of, end = _word_ids(vocabulary), array("I", [end_id]).tobytes()
         for batch in slices(batches):
             rows, counts = [], []
             for ids in ids_of(utf8_texts(batch.column(1))):
@@ -177,7 +198,6 @@ def pieces(docs: DataFrame, sequence_length: int = SEQUENCE_LENGTH, vocabulary:
             yield pa.RecordBatch.from_arrays(
                 [doc, *[pa.array(c, kind) for c, (_, kind) in zip(columns, fields)]],
                 names=["doc_id", *[name for name, _ in fields]])
-        del ids_of
         return_memory()
 
     schema = (f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, piece int, start bigint, length int, "
