@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import base64
 import heapq
-import unicodedata
 from collections import Counter
 from functools import lru_cache
 
@@ -24,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import public_tokenizers
+import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -122,12 +122,21 @@ def _scanner() -> Scanner:
     return Scanner()
 
 
+def _matched(pattern: str, text: str) -> list[int]:
+    """Code points of ``text`` that the library's pattern matches."""
+    one_byte_each = {bytes([b]): b for b in range(256)}
+    asked = tiktoken.Encoding("class", pat_str=pattern, mergeable_ranks=one_byte_each, special_tokens={})
+    return [ord(c) for c in bytes(asked.encode_ordinary(text)).decode()]
+
+
 @lru_cache(maxsize=1)
 def _classes() -> np.ndarray:
-    """Class of every code point, from the Unicode database."""
-    kinds = {"L": LETTER, "N": NUMBER}
-    out = np.array([kinds.get(unicodedata.category(chr(c))[0], OTHER) for c in range(0x110000)],
-                   dtype=np.uint8)
+    """Class of every code point. What is a letter or a number depends on the
+    version of Unicode, so the library whose ids are wanted is asked, once."""
+    out = np.full(0x110000, OTHER, dtype=np.uint8)
+    points = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    out[_matched(r"\p{L}", points)] = LETTER
+    out[_matched(r"\p{N}", points)] = NUMBER
     out[WHITE_SPACE] = SPACE
     out[0x20] = BLANK
     out[0x27] = QUOTE
