@@ -140,6 +140,22 @@ def char_groups(items: list, limit: int = GROUP_CHARS) -> Iterator[tuple[int, in
         yield start, len(items)
 
 
+def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> DataFrame:
+    """(text, label) of at most ``per_class`` ids of each class 0 and 1, the
+    first by a hash of the id, one text an id: of several texts the one with
+    the least hash. So what is collected from it is bounded by rows, whatever
+    an id repeats in ``docs`` or ``labels``; copies go within the tasks."""
+    known = labels.filter(f"doc_id IS NOT NULL AND {label} IN (0, 1)").select(
+        F.col("doc_id").alias("labelled_id"), F.col(label).cast("int").alias("label")).distinct()
+    order = [F.xxhash64(F.col("labelled_id").cast("string")), F.col("labelled_id")]
+    chosen = known.filter("label = 1").orderBy(*order).limit(per_class).unionByName(
+        known.filter("label = 0").orderBy(*order).limit(per_class))
+    # at most 2 * per_class small rows
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled_id"))
+    one = F.min_by(F.struct("text"), F.struct(F.xxhash64("text"), F.col("text").isNull())).alias("one")
+    return rows.groupBy("labelled_id", "label").agg(one).select("one.text", F.col("label").alias(label))
+
+
 def crc_remainder(column: Column, divisor: int) -> Column:
     """crc32 of the value as text, modulo ``divisor`` (null: null)."""
     return F.crc32(column.cast("string").cast("binary")) % divisor

@@ -26,6 +26,8 @@ from .common import add_columns, crc_remainder, table
 #: Training texts per language, at most, and bytes of its dictionary.
 SAMPLE_PER_LANGUAGE = 300
 DICTIONARY_BYTES = 256 * 1024
+#: Of one text at most so much is taken, so that none fills a dictionary.
+SLICE_BYTES = 8 * 1024
 #: Faster levels search a dictionary too little to tell languages apart.
 LEVEL = 9
 #: A margin (relative to the smallest size) below this is too narrow.
@@ -33,24 +35,31 @@ REJECT_MARGIN = 0.01
 UNKNOWN = "und"
 
 
-def dictionaries(docs: DataFrame) -> dict[str, bytes]:
-    """Dictionary content by language, from rows with text and language: the
-    texts that come first by a hash of the id, until the dictionary is full."""
+def sampled(docs: DataFrame) -> DataFrame:
+    """lang, place and text of at most SAMPLE_PER_LANGUAGE distinct rows of id
+    and text per language, the first by a hash of the id, each cut to
+    SLICE_BYTES characters. Copies go within the tasks, before rows are ranked
+    and after they are found again."""
     known = docs.select("doc_id", "lang", "text").filter(
         "lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL")
-    first = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id")
-    chosen = (known.select("doc_id", "lang").withColumn("place", F.row_number().over(first))
-              .filter(F.col("place") <= SAMPLE_PER_LANGUAGE)
-              .select(F.col("doc_id").alias("chosen_id"), F.col("lang").alias("chosen_lang"), "place"))
-    # SAMPLE_PER_LANGUAGE short rows a language; a dictionary is no longer than its bound
-    rows = (known.join(F.broadcast(chosen), (F.col("doc_id") == F.col("chosen_id")) &
-                       (F.col("lang") == F.col("chosen_lang")))
-            .select("lang", "place", F.substring("text", 1, DICTIONARY_BYTES).alias("text")).collect())
+    which = known.select("doc_id", "lang", F.xxhash64("text").alias("of_text")).distinct()
+    first = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id", "of_text")
+    chosen = (which.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= SAMPLE_PER_LANGUAGE)
+              .select(F.col("doc_id").alias("chosen_id"), F.col("lang").alias("chosen_lang"), "of_text", "place"))
+    # SAMPLE_PER_LANGUAGE short rows a language
+    rows = known.join(F.broadcast(chosen), (F.col("doc_id") == F.col("chosen_id")) &
+                      (F.col("lang") == F.col("chosen_lang")) & (F.xxhash64("text") == F.col("of_text")))
+    return (rows.groupBy("lang", "place").agg(F.min(F.substring("text", 1, SLICE_BYTES)).alias("text")))
+
+
+def dictionaries(docs: DataFrame) -> dict[str, bytes]:
+    """Dictionary content by language, from rows with text and language: an
+    equal slice of each sampled text, until the dictionary is full."""
     out: dict[str, bytes] = {}
-    for r in sorted(rows, key=lambda r: (r["lang"], r["place"], r["text"])):
+    for r in sorted(sampled(docs).collect(), key=lambda r: (r["lang"], r["place"])):
         held = out.get(r["lang"], b"")
         if len(held) < DICTIONARY_BYTES:
-            out[r["lang"]] = (held + r["text"].lower().encode() + b"\n")[:DICTIONARY_BYTES]
+            out[r["lang"]] = (held + r["text"].lower().encode()[:SLICE_BYTES] + b"\n")[:DICTIONARY_BYTES]
     return out
 
 

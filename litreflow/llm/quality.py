@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import add_columns, crc_remainder, slices, table, utf8_texts
+from .common import add_columns, crc_remainder, labelled_texts, slices, table, utf8_texts
 
 CHUNK, STRIDE = 512, 448
 WIDTH, DIM, FILTERS, HIDDEN = 6, 8, 24, 16
@@ -152,13 +152,10 @@ def _sampled_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Network:
     """Fit on at most ``per_class`` labelled documents of each class, the first
     by a hash of the id (a few MB of chunks on the driver)."""
-    known = labels.filter("doc_id IS NOT NULL AND quality IN (0, 1)").select(
-        F.col("doc_id").alias("labelled_id"), F.col("quality").cast("int").alias("quality"))
-    order = [F.xxhash64(F.col("labelled_id").cast("string")), F.col("labelled_id")]
-    chosen = known.filter("quality = 1").orderBy(*order).limit(per_class).unionByName(
-        known.filter("quality = 0").orderBy(*order).limit(per_class))
-    rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled_id"))
-            .select("text", "quality").mapInArrow(_sampled_chunks, "chunk binary, label int").collect())
+    known = labels.filter("doc_id IS NOT NULL AND quality IN (0, 1)")
+    # at most 2 * per_class texts, CHUNKS_PER_DOCUMENT chunks of each
+    rows = (labelled_texts(docs, labels, "quality", per_class)
+            .mapInArrow(_sampled_chunks, "chunk binary, label int").collect())
     rows.sort(key=lambda r: (r["label"], r["chunk"]))  # the same model however tasks end
     shares = {r["quality"]: r["count"] for r in known.groupBy("quality").count().collect()}
     net = Network()

@@ -27,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD, add_columns, checkpointed, crc_remainder, fresh, table, texts
+from .common import (WORD, add_columns, checkpointed, crc_remainder, fresh, labelled_texts, table,
+                     texts)
 
 #: Labelled rows of each class that are used for training, at most.
 SAMPLE_PER_CLASS = 4000
@@ -213,18 +214,6 @@ class Model:
 
 
 # -- training --------------------------------------------------------------
-def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int) -> DataFrame:
-    """(text, toxic) of at most ``per_class`` label rows of each class, the
-    first by a hash of the id."""
-    known = labels.filter("doc_id IS NOT NULL AND toxic IN (0, 1)").select(
-        F.col("doc_id").alias("labelled_id"), "toxic")
-    order = [F.xxhash64(F.col("labelled_id").cast("string")), F.col("labelled_id")]
-    chosen = known.filter("toxic = 1").orderBy(*order).limit(per_class).unionByName(
-        known.filter("toxic = 0").orderBy(*order).limit(per_class))
-    # at most 2 * per_class small rows
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled_id")).select("text", "toxic")
-
-
 def _document_counts(sample: DataFrame) -> DataFrame:
     """In how many toxic and clean sample documents each sign occurs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,7 +258,7 @@ def _cover(presence: np.ndarray, toxic: np.ndarray) -> list[int]:
 def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Model:
     """Mine patterns, fit the label model and the classifier on the sample."""
     words = sorted({w for x in LEXICONS.values() for w in x.split()})
-    sample = checkpointed(labelled_sample(docs, labels, per_class))
+    sample = checkpointed(labelled_texts(docs, labels, "toxic", per_class))
     sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
     signs: list[tuple[str, int]] = []
