@@ -48,12 +48,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage: write ``df`` to the shared checkpoint folder."""
+    """Cut the lineage: write ``df`` to the shared checkpoint folder. Its shuffle
+    files, which nothing needs any more then, are removed at once."""
     spark = df.sparkSession
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint()
+    before = spark.conf.get(_DROP_SHUFFLES)
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        return df.select("*").checkpoint()  # planned under the setting
+    finally:
+        spark.conf.set(_DROP_SHUFFLES, before)
 
 
 def fresh(base: str, *frames: DataFrame) -> str:

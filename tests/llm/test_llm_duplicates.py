@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
 import xxhash
 
 import llm_helpers as H
@@ -219,24 +220,134 @@ def test_a_passage_whose_pieces_occur_in_other_documents_before(spark, tmp_path)
     assert got == {(20 * k + 11, 20 * k + 10, 80, 75) for k in range(8)}
 
 
-def test_places_do_not_depend_on_the_batches():
+def _seed_batches(rows, size):
+    return iter([substring.pa.RecordBatch.from_arrays(
+        [substring.pa.array(list(c)) for c in zip(*rows[a : a + size])], names=substring._SEED_NAMES)
+        for a in range(0, len(rows), size)])
+
+
+def test_neighbours_equal_a_search_and_do_not_depend_on_the_batches(monkeypatch):
+    monkeypatch.setattr(substring, "may_extend", lambda ahead, behind: ahead == ahead)
     rng = random.Random(23)
-    rows = sorted((rng.randrange(6), rng.randrange(9), i) for i in range(120))
-    want = []
-    for seed, doc, at in rows:
-        docs = sorted({d for s, d, _ in rows if s == seed})
-        places = [a for s, d, a in rows if (s, d) == (seed, doc)]
-        if doc != docs[0]:
-            first = [a for s, d, a in rows if (s, d) == (seed, docs[0])]
-            want.append((seed, doc, at, docs.index(doc), at == places[0], docs[0],
-                         first[places.index(at) % len(first)]))
-    for size in (1, 2, 7, 200):
-        batches = [substring.pa.RecordBatch.from_arrays(
-            [substring.pa.array(list(c)) for c in zip(*[(s, d, 0, x, 0) for s, d, x in rows[a : a + size]])],
-            names=["seed", "doc", "text_key", "at", "sides"]) for a in range(0, len(rows), size)]
-        names = ("seed", "doc", "at", "place", "lead", "source", "source_at")
-        got = [tuple(r[k] for k in names) for b in substring._placed(iter(batches)) for r in b.to_pylist()]
-        assert got == want
+    for _ in range(30):
+        rows = sorted({(rng.randrange(5), rng.randrange(6), 0, rng.randrange(9), rng.randrange(2), i)
+                       for i in range(rng.randrange(1, 120))})
+        leads, want = [], set()
+        for seed, ahead, _, doc, key, at in rows:
+            run = [r for r in rows if r[:2] == (seed, ahead)]
+            lead = [r for r in run if r[3:5] == run[0][3:5]]
+            if (doc, key) == run[0][3:5]:
+                leads.append((seed, ahead, 0, doc, key, at))
+                continue
+            place = [r[5] for r in run if r[3:5] == (doc, key)].index(at)
+            want.add((doc, key, *run[0][3:5], at, lead[place % len(lead)][5]))
+        for i, (seed, _, _, doc, key, at) in enumerate(leads):
+            earlier = [j for j, r in enumerate(leads) if r[0] == seed and r[3:5] < (doc, key)]
+            for j in (max((j for j in earlier if j < i), default=None), min((j for j in earlier if j > i), default=None)):
+                if j is not None:
+                    want.add((doc, key, *leads[j][3:5], at, leads[j][5]))
+        for size in (1, 2, 7, 500):
+            got = [tuple(r.values()) for b in substring._neighbours(_seed_batches(rows, size)) for r in b.to_pylist()]
+            assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_words_on_both_sides_rule_out_only_what_cannot_be_a_stretch():
+    rng = random.Random(28)
+    for _ in range(2000):
+        a = np.array([rng.randrange(1 << 64) for _ in range(60)], dtype=np.uint64)
+        b = a.copy()
+        for i in range(60):
+            if rng.random() < rng.choice([0.05, 0.3, 0.9]):
+                b[i] = rng.randrange(1 << 64)
+        at = rng.randrange(0, 55)
+        b[at : at + substring.SEED_WORDS] = a[at : at + substring.SEED_WORDS]
+        one, two = (substring.sides(x, np.array([at])) for x in (a, b))
+        left, _ = substring._extend(a[:at][::-1], b[:at][::-1])
+        right, _ = substring._extend(a[at + substring.SEED_WORDS:], b[at + substring.SEED_WORDS:])
+        if left + right + substring.SEED_WORDS >= substring.MIN_STRETCH:
+            assert substring.may_extend(one[0] ^ two[0], one[1] ^ two[1])[0]
+
+
+def _passages(spark, rows):
+    return {(r["doc_id"], r["source_id"], r["passage_start"], r["passage_words"])
+            for r in _stretch_rows(spark, rows)}
+
+
+def _stretch_rows(spark, rows):
+    found = substring.passages(spark.createDataFrame(rows, H.SCHEMA).repartition(3))
+    from pyspark.sql import functions as F
+    return (found.select("doc", F.explode("runs").alias("r")).select("doc", "r", F.explode("r.parts").alias("p"))
+            .select(F.col("doc").alias("doc_id"), F.col("p.source").alias("source_id"),
+                    F.col("r.word_lo").alias("passage_start"),
+                    (F.col("r.word_hi") - F.col("r.word_lo")).alias("passage_words")).collect())
+
+
+@pytest.mark.parametrize("layers", [1, 3])
+def test_a_passage_is_found_whatever_holds_overlapping_pieces_of_it(spark, layers):
+    """Twelve earlier documents a layer hold overlapping 19-word pieces of 90
+    words that two documents share: the two are found, with or without other
+    documents beside them."""
+    rng = random.Random(29)
+    word = lambda n: H.words(rng, n, 200_000)
+    passage = word(90).split()
+    rows = []
+    for layer in range(layers):
+        for k in range(12):
+            at = min(71, 6 * k + layer)
+            rows.append((100 * layer + k, f"{word(60)} {' '.join(passage[at : at + 19])} {word(60)}", "en", "s", 1))
+    rows += [(d, f"{word(80)} {' '.join(passage)} {word(70)}", "en", "s", 1) for d in (1000, 1001)]
+    alone = _passages(spark, rows)
+    assert {(d, start, size) for d, _, start, size in alone} == {(1001, 80, 90)}
+    assert 1000 in {source for _, source, _, _ in alone}
+    other = word(70)
+    more = [(d, f"{word(50)} {other} {word(50)}", "en", "s", 1) for d in (2000, 2001)]
+    more += [(3000 + i, word(150), "en", "s", 1) for i in range(20)]
+    beside = _passages(spark, rows + more)
+    assert {x for x in beside if x[0] < 2000} == alone
+    assert {(d, start, size) for d, _, start, size in beside if d >= 2000} == {(2001, 50, 70)}
+
+
+def test_whole_query_against_the_alignment_of_all_pairs(spark):
+    """Every later document that shares a passage with an earlier one, by a
+    search for runs of words in all pairs, and no other."""
+    rng = random.Random(30)
+    texts = [H.words(rng, rng.randrange(60, 160), 200_000).split() for _ in range(60)]
+    for _ in range(60):  # pieces of 20 to 90 words copied about, some edited
+        source, size = rng.choice(texts), rng.randrange(20, 90)
+        at = rng.randrange(max(1, len(source) - size))
+        piece = [w if rng.random() < rng.choice([1, 1, 0.95]) else f"x{rng.random()}"[:9] for w in source[at : at + size]]
+        target = rng.choice(texts)
+        cut = rng.randrange(len(target))
+        target[cut:cut] = piece
+
+    def longest_common(a, b):
+        best, before = 0, [0] * (len(b) + 1)
+        for x in a:
+            now = [0] * (len(b) + 1)
+            for j, y in enumerate(b):
+                if x == y:
+                    now[j + 1] = before[j] + 1
+                    best = max(best, now[j + 1])
+            before = now
+        return best
+
+    exact = {i for i in range(60) for j in range(i) if longest_common(texts[i], texts[j]) >= substring.MIN_WORDS + 8}
+    words = [set(zip(*[t[k:] for k in range(5)])) for t in texts]
+    related = {i for i in range(60) for j in range(i) if words[i] & words[j]}
+    got = {x[0] for x in _passages(spark, [(i, " ".join(t), "en", "s", 1) for i, t in enumerate(texts)])}
+    assert exact <= got <= related and exact
+
+
+def test_a_line_of_a_third_of_the_documents_is_not_sent_for_each(spark):
+    rng = random.Random(31)
+    line = H.words(rng, 60, 200_000)
+    docs = spark.createDataFrame([(i, f"{H.words(rng, 20, 200_000)} {line if i % 3 == 0 else ''} {H.words(rng, 20, 200_000)}",
+                                   "en", "s", 1) for i in range(900)], H.SCHEMA).repartition(2)
+    rows = docs.selectExpr("doc_id AS doc", "0L AS text_key", "text")
+    sent = rows.mapInArrow(substring._seeds, substring._SEED).filter("at >= 0").groupBy("seed").count()
+    # the line's inner seeds are sent once a slice; those at its end go on differently
+    assert sent.filter("count > 50").count() <= 16
+    assert {x[0] for x in _passages(spark, docs.collect())} == set(range(3, 900, 3))
 
 
 def test_edited_passages_are_found(spark, tmp_path):
