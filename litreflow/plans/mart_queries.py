@@ -36,7 +36,7 @@ _BUILD: dict[str, Callable] = {
 }
 
 
-class _Marts(BenchmarkSources):
+class Marts(BenchmarkSources):
     """Marts that read marts: live vehicles, history and the enriched fact are
     built from the projections, not looked up."""
 
@@ -46,7 +46,7 @@ class _Marts(BenchmarkSources):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def query(build: Callable) -> Callable[[SparkSession, str], DataFrame]:
-        return lambda spark, sf_dir: build(_Marts(spark, sf_dir))
+        return lambda spark, sf_dir: build(Marts(spark, sf_dir))
     return {name: query(build) for name, build in _BUILD.items()}
 
 

@@ -1,0 +1,83 @@
+"""Plans of the marts over written tables."""
+
+import contextlib
+import io
+import re
+
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from litreflow.plans import fuelcard, mart_queries, written_marts
+from litreflow.sinks import write_table
+
+
+def _plan(df) -> str:
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode="formatted")
+    return buf.getvalue()
+
+
+def _above_scans(plan: str) -> dict[str, list[str]]:
+    """Operators on the way from each scan up to its first join, by relation."""
+    tree = plan.split("\n\n")[0].splitlines()
+    depth = lambda ln: len(ln) - len(ln.lstrip(" :+-*"))
+    out = {}
+    for i, ln in enumerate(tree):
+        found = re.search(r"Scan parquet (\S+)", ln)
+        if not found:
+            continue
+        at, names = depth(ln), []
+        for up in reversed(tree[:i]):
+            if depth(up) < at:
+                at = depth(up)
+                names.append(up.strip(" :+-*"))
+                if "Join" in up:
+                    break
+        out[found[1]] = names
+    return out
+
+
+def test_bucketed_fact_and_history_are_not_moved(spark):
+    src, names = written_marts.bucketed(spark, SF_SMALL, buckets=8)
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold",
+            "spark.sql.shuffle.partitions")
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in zip(keys, ("-1", "-1", "8")):  # as at scale, where nothing is broadcast
+            spark.conf.set(k, v)
+        fact, history = (spark.table(n) for n in names)
+        joined = fact.join(history, fact["TransactionID"] == history["FuelTransactionID"])
+        above = _above_scans(_plan(joined))
+        whole = _above_scans(_plan(fuelcard.supplier_data(src)))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    for plan in (above, whole):
+        ours = {t: ops for t, ops in plan.items() if any(n.split(".")[1] in t for n in names)}
+        assert len(ours) == 2
+        for ops in ours.values():
+            assert "Join" in ops[-1] and not any("Exchange" in x for x in ops), ops
+    for n in names:
+        spark.sql(f"DROP TABLE {n}")
+
+
+def test_a_list_of_days_prunes_the_fact(spark, tmp_path):
+    src = mart_queries.Marts(spark, SF_SMALL)
+    path = f"{tmp_path}/fact"
+    write_table(fuelcard.precalculated_transactions(src), path, partition_by=["date"])
+    fact = spark.read.parquet(path)
+    plan = _plan(fuelcard.supplier_manager(src, precalc=fact.join(written_marts.promotion_days(src), "date")))
+    assert "dynamicpruning" in plan.lower()
+    assert fact.select("date").distinct().count() > written_marts.promotion_days(src).count() > 0
+
+
+def test_two_runs_change_the_orders_in_one_step(spark, tmp_path):
+    got = written_marts.mart_m02_incremental(spark, SF_SMALL)
+    want = fuelcard.orders_with_drivers(mart_queries.Marts(spark, SF_SMALL))
+    assert got.columns == want.columns
+    assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+    # both sides of the split have rows, and some keys are NULL
+    split = F.lit(written_marts.SPLIT_DATE).cast("timestamp_ntz")
+    assert 0 < want.filter(F.col("CapturedDate") < split).count() < want.count()
+    assert want.filter("DriverID IS NULL").count() > 0
