@@ -25,9 +25,9 @@ from .common import checkpointed, fresh, table
 
 WINDOW = 10
 GRAM = 5
-#: Windows (of about 100 bytes) that are broadcast at most; with more, both
-#: sides are shuffled.
-BROADCAST_WINDOWS = 200_000
+#: Bytes of windows (their words, and 60 for each) that are broadcast at most;
+#: with more, both sides are shuffled.
+BROADCAST_BYTES = 32_000_000
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -113,8 +113,9 @@ def judged(docs: DataFrame, wins: DataFrame) -> tuple[DataFrame, list[str]]:
     """``docs`` with three more columns, whose names are returned: number of
     words, number of hit words, and the windows that occur."""
     known = checkpointed(wins.select("win", "len", "off", "hash").distinct())
-    facts = known.agg(F.count("*"), F.collect_set(F.when(F.col("len") < WINDOW, F.col("len")))).first()
-    if facts[0] <= BROADCAST_WINDOWS:  # at most about 20 MB
+    facts = known.agg(F.coalesce(F.sum(F.octet_length("win") + F.lit(60).cast("bigint")), F.lit(0)),
+                      F.collect_set(F.when(F.col("len") < WINDOW, F.col("len")))).first()
+    if facts[0] <= BROADCAST_BYTES:
         known = F.broadcast(known)
     names = [fresh(x, docs) for x in ("n_words", "n_hit", "found")]
     key, hit_id, hit_key, own_hits = (fresh(x, docs) for x in ("text_key", "hit_id", "hit_key", "hits"))

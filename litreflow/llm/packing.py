@@ -1,7 +1,8 @@
 """Packed token ids: best-fit-decreasing packing into rows of fixed length.
 
 Documents are dealt by a hash of their text into buckets of bounded size, and
-each bucket is tokenized and packed in one task. A document longer than a row
+each bucket is tokenized and packed in one task; a bucket that many copies of a
+row make larger is packed part by part, so its memory is bounded. A document longer than a row
 is split losslessly into whole rows and a rest. Pieces are placed by falling
 length into the open row with the least sufficient capacity, which a segment
 tree over capacities finds in logarithmic time. A row of the result is one row
@@ -105,18 +106,22 @@ _SCHEMA = ("bucket int, row int, n_tokens int, ids binary, cu_seqlens array<int>
            "doc_ids array<bigint>, parts array<int>")
 
 
-def _pack_buckets(batches: Iterator[pa.RecordBatch], vocabulary: str, row_length: int) -> Iterator[pa.RecordBatch]:
-    """Rows (bucket, doc_id, text) sorted by bucket -> packed rows."""
+def _pack_buckets(batches: Iterator[pa.RecordBatch], vocabulary: str, row_length: int,
+                  most: int) -> Iterator[pa.RecordBatch]:
+    """Rows (bucket, doc_id, text) sorted by bucket -> packed rows; so many
+    tokens of a bucket are packed at once, at most."""
     names = [x.split()[0] for x in _SCHEMA.split(", ")]
     kinds = [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int32()), pa.binary(),
              pa.list_(pa.int64()), pa.list_(pa.int32())]
     bucket: int | None = None
     pieces: list[np.ndarray] = []
     source: list[tuple[int | None, int]] = []
+    size = number = 0  # tokens held, and rows the bucket has already
 
     def done() -> pa.RecordBatch:
+        nonlocal number
         rows = []
-        for k, row in enumerate(packed([len(p) for p in pieces], row_length)):
+        for k, row in enumerate(packed([len(p) for p in pieces], row_length), number):
             sizes = [len(pieces[i]) for i in row]
             used = sum(sizes)
             matrix = np.zeros(row_length, dtype="<u4")
@@ -125,17 +130,20 @@ def _pack_buckets(batches: Iterator[pa.RecordBatch], vocabulary: str, row_length
             positions[:used] = np.concatenate([np.arange(n) for n in sizes])
             rows.append((bucket, k, used, matrix.tobytes(), [0, *np.cumsum(sizes).tolist()],
                          positions.tobytes(), [source[i][0] for i in row], [source[i][1] for i in row]))
+        number += len(rows)
         columns = list(zip(*rows)) or [()] * len(names)
         return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds)], names=names)
 
     encode = _encoding(vocabulary).encode_ordinary
     for batch in slices(batches):
         for b, doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts(batch.column(2))):
-            if b != bucket and pieces:
+            if pieces and (b != bucket or size >= most):
                 yield from slices([done()])
-                pieces, source = [], []
-            bucket = b
+                pieces, source, size = [], [], 0
+            if b != bucket:
+                bucket, number = b, 0
             ids = np.array(encode(text), dtype="<u4")
+            size += len(ids)
             for part, at in enumerate(range(0, len(ids), row_length)):
                 pieces.append(ids[at : at + row_length])
                 source.append((doc, part))
@@ -154,7 +162,7 @@ def pack(docs: DataFrame, row_length: int = ROW_LENGTH, vocabulary: str = VOCABU
     dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "tie"), F.lit(buckets)).cast("int"))
     return (dealt.repartition(buckets, "bucket").sortWithinPartitions("bucket", "doc_id", "tie")
             .select("bucket", "doc_id", "text")
-            .mapInArrow(lambda it: _pack_buckets(it, vocabulary, row_length), _SCHEMA))
+            .mapInArrow(lambda it: _pack_buckets(it, vocabulary, row_length, bucket_chars), _SCHEMA))
 
 
 def write_packed(rows: DataFrame, path: str) -> None:

@@ -56,10 +56,21 @@ def test_decontamination_equals_sql(spark, short):
 def test_decontamination_without_broadcast(spark, monkeypatch):
     docs, bench = contaminated_tables(spark)
     want = H.rows_of(decontam.report(docs, bench), *COLUMNS2)
-    monkeypatch.setattr(decontam, "BROADCAST_WINDOWS", 0)
+    monkeypatch.setattr(decontam, "BROADCAST_BYTES", 0)
     assert H.rows_of(decontam.report(docs, bench), *COLUMNS2) == want
 
 
+def test_words_of_a_megabyte_are_not_broadcast(spark, monkeypatch):
+    big = "x" * 1_000_000
+    text = " ".join(["a", big] + [f"w{i}" for i in range(12)])
+    docs = spark.createDataFrame([(1, f"before {text} after", "en", "s", 0), (2, "w1 w2 w3", "en", "s", 0)], H.SCHEMA)
+    bench = spark.createDataFrame([(1, text), (2, "w5 " * 12)], "item_id bigint, text string")
+    monkeypatch.setattr(decontam, "BROADCAST_BYTES", 1_500_000)
+    monkeypatch.setattr(decontam.F, "broadcast", lambda df: pytest.fail("two windows of a megabyte are broadcast"))
+    got = H.rows_of(decontam.report(docs, bench), "doc_id", "n_words", "n_hit", "n_items")
+    assert got == [(1, 16, 14, 1), (2, 3, 0, 0)]
+
+
 def test_decontaminated_documents(spark):
     docs, bench = contaminated_tables(spark)
     docs = docs.withColumn("hits", docs["text"]).withColumn("n_hit", docs["n_chars"])

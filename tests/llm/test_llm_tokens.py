@@ -115,6 +115,20 @@ def test_packing_is_lossless(spark, reference):
     assert sum(r["n_tokens"] for r in rows) == total
 
 
+def test_copies_of_a_row_are_packed_part_by_part(spark, reference):
+    text = "the same words for each of a great many rows " * 20
+    docs = spark.createDataFrame([(1, text, "en", "a", 1)] * 300 + [(2, "another", "en", "a", 1)], H.SCHEMA)
+    n = len(reference.encode_ordinary(text))
+    rows = packing.pack(docs, row_length=512, bucket_chars=20 * n).collect()
+    assert sum(r["n_tokens"] for r in rows) == 300 * n + len(reference.encode_ordinary("another"))
+    assert len({(r["bucket"], r["row"]) for r in rows}) == len(rows)
+    # one batch of copies at a time, however many there are in the bucket
+    batches = [packing.pa.RecordBatch.from_arrays(
+        [packing.pa.array(x) for x in ([0] * 300, [1] * 300, [text] * 300)], names=["bucket", "doc_id", "text"])]
+    sizes = [b.num_rows for b in packing._pack_buckets(iter(batches), packing.VOCABULARY, 512, 20 * n)]
+    assert len(sizes) >= 15
+
+
 def test_packing_does_not_depend_on_partitions(spark):
     docs = H.odd_docs(spark, extra=False)
     one, many = (packing.pack(d, 128, bucket_chars=40_000).drop("doc_ids", "parts")
