@@ -176,6 +176,32 @@ def test_chains_equal_brute_force():
         assert not score or max(score) <= best + 1e-9
 
 
+def test_matches_that_ascend_by_small_steps_are_one_chain():
+    rng = random.Random(32)
+    seen = set()
+    for _ in range(300):
+        own, other = ([], [])
+        x = y = 0
+        for _ in range(rng.randrange(1, 12)):
+            x, y = x + rng.randrange(1, 40), y + rng.choice([rng.randrange(1, 40), -3 if rng.random() < 0.05 else 2])
+            own.append(x)
+            other.append(y)
+        one = substring._one_chain(np.array(own, dtype=np.int32), np.array(other, dtype=np.int32))
+        seen.add(one)
+        if one:
+            assert substring.chains(own, other) == [list(range(len(own)))]
+    assert seen == {True, False}
+
+
+def test_steps_are_packed_and_unpacked():
+    rng = random.Random(33)
+    for far in (3, 100, 1000, 10**6):
+        x = [rng.randrange(-far, far) for _ in range(rng.randrange(1, 50))]
+        assert substring._unpacked(substring._packed(x)).tolist() == x
+        moved = substring._packed(x, 0)
+        assert substring._unpacked(substring._head(moved[0], 7) + moved[9:]).tolist() == [v - x[0] + 7 for v in x]
+
+
 def test_common_subsequence():
     rng = random.Random(9)
     for _ in range(300):
