@@ -12,6 +12,7 @@ A registry resolves a logical name to a DataFrame in this order:
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from litreflow.session import folder_exists
 from litreflow.sources.schemas import SCHEMAS, SEED_SUPPLIER_ORDER_MONDAY
@@ -48,6 +49,15 @@ class SourceRegistry:
             return reader.load(f"{self.root}/{dataset}/{table}")
         return self.spark.table(f"{dataset}.{table}")
 
+    def stored_schema(self, dataset: str, table: str) -> StructType | None:
+        """The columns that are there, from the files' footers or the catalog;
+        None if the table is not."""
+        if not self.has(dataset, table):
+            return None
+        if (dataset, table) not in self._frames and self.root is not None:
+            return self.spark.read.format(self.fmt).load(f"{self.root}/{dataset}/{table}").schema
+        return self.source(dataset, table).schema
+
     def fixture(self, dataset: str, table: str, rows: list) -> DataFrame:
         """Register in-memory rows with the table's declared schema."""
         df = self.spark.createDataFrame(rows, SCHEMAS[(dataset, table)])
@@ -56,6 +66,7 @@ class SourceRegistry:
 
 
 def read_seed(spark: SparkSession, path: str) -> DataFrame:
-    """The supplier-order mapping seed (CSV with a header line)."""
-    return (spark.read.option("header", True)
+    """The supplier-order mapping seed (CSV with a header line). A header with
+    other names, or a row that does not fit, is an error that shows it."""
+    return (spark.read.option("header", True).option("mode", "FAILFAST").option("enforceSchema", False)
             .schema(SEED_SUPPLIER_ORDER_MONDAY).csv(path))
