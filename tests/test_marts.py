@@ -1,12 +1,15 @@
 """The marts on hand-written source rows (tests/fixtures.py)."""
 
+import contextlib
 import datetime as dt
+import io
 
 import pytest
 
 from fixtures import registry
 from litreflow.constants import NIL_GUID
 from litreflow.plans import fuelcard, samples, wholesale
+from litreflow.sources.schemas import SCHEMAS
 
 D = dt.datetime
 
@@ -167,3 +170,43 @@ def test_mart_plans_have_no_cross_products(spark, src, mart):
 def test_m07_ordered_for_presentation(src):
     rows = wholesale.payment_dates(src, ordered=True).collect()
     assert [r.OrderNumber for r in rows] == sorted(r.OrderNumber for r in rows)
+
+
+def test_m02_items_meet_one_order_of_a_group(spark):
+    """Orders that share an instance, and items that share a driver and card,
+    are one row each before they meet: 200 x 200 rows do not become 40,000."""
+    src = registry(spark)
+    when = D(2025, 3, 1)
+    orders = [dict(OrderNumberTitle="ON", OrderInstanceID="oi", CapturedDate=when, VehicleID="v1",
+                   MaxLitres=float(200 - i)) for i in range(200)]
+    # a second instance of the same group: its item is the same driver's and card's
+    orders.append(dict(OrderNumberTitle="ON", OrderInstanceID="oj", CapturedDate=when, VehicleID="v1",
+                       MaxLitres=0.5))
+    orders.append(dict(OrderNumberTitle="ON3", OrderInstanceID=None, CapturedDate=when, VehicleID=None,
+                       MaxLitres=3.0))
+    items = [dict(OrderInstanceID="oi", VehicleID="v1", DriverID="d1", CardID="k1", IsDeleted=i > 0)
+             for i in range(200)]
+    items.append(dict(OrderInstanceID="oj", VehicleID="v1", DriverID="d1", CardID="k1", IsDeleted=None))
+    items.append(dict(OrderInstanceID="oj", VehicleID="v1", DriverID="d2", CardID=None, IsDeleted=False))
+
+    def frame(rows, dataset, table):
+        schema = SCHEMAS[dataset, table]
+        src.put(dataset, table, spark.createDataFrame(
+            [tuple(r.get(f.name) for f in schema.fields) for r in rows], schema))
+
+    frame(orders, "tfn_reports", "orders")
+    frame(items, "tfn_data", "order_instance_item")
+    out = fuelcard.orders_with_drivers(src)
+    got = sorted(((r.OrderNumberTitle, r.DriverID, r.CardID, r.IsDeleted, r.MaxLitres) for r in out.collect()), key=str)
+    assert got == [("ON", "d1", "k1", None, 0.5), ("ON", "d2", None, False, 0.5),
+                   ("ON3", None, None, None, 3.0)]
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        out.explain()
+    tree = buf.getvalue().splitlines()
+    meet = [i for i, line in enumerate(tree) if "OrderInstanceID" in line and "Join" in line]
+    assert meet
+    for i in meet:   # below the join with the items: one row for each key of either side
+        below = [line for line in tree[i + 1:] if "row_number(), 1, Final" in line]
+        assert any("DriverID" in line and "CardID" in line for line in below)
+        assert any("OrderNumberTitle" in line and "OrderInstanceID" in line for line in below)
