@@ -210,3 +210,15 @@ def test_m02_items_meet_one_order_of_a_group(spark):
         below = [line for line in tree[i + 1:] if "row_number(), 1, Final" in line]
         assert any("DriverID" in line and "CardID" in line for line in below)
         assert any("OrderNumberTitle" in line and "OrderInstanceID" in line for line in below)
+
+
+def test_m09_vehicles_multiply_rows_dealt_out(src):
+    """The rows are dealt out by the order numbers before the vehicles' fan-out."""
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        wholesale.loads(src).explain()
+    tree = buf.getvalue().splitlines()
+    dealt = [i for i, line in enumerate(tree) if "REPARTITION_BY_NUM" in line and "OrderNumberTitle" in line]
+    joins = [i for i, line in enumerate(tree) if "Join" in line]
+    assert len(dealt) == 1
+    assert sum(i < dealt[0] for i in joins) == 1
