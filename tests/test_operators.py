@@ -273,3 +273,14 @@ def test_newest_valid_makes_no_pairs_of_open_bands(spark):
     df.collect()
     walk(df._jdf.queryExecution().executedPlan())
     assert made and max(made) <= n
+
+
+def test_broadcast_if_few_counts_the_lookup(spark, capsys):
+    """A lookup is broadcast by its counted rows; a larger one is left alone."""
+    from litreflow.operators import broadcast_if_few
+    fact = spark.range(1000).select((F.col("id") % 7).alias("k"), "id")
+    lookup = spark.range(20).select(F.col("id").alias("key"), F.lit("x").alias("v"))
+    for rows, hinted in ((20, True), (19, False)):
+        j = fact.join(broadcast_if_few(lookup, rows), F.col("k") == F.col("key"), "left")
+        assert ("strategy=broadcast" in j._jdf.queryExecution().optimizedPlan().toString()) == hinted
+        assert j.count() == 1000
