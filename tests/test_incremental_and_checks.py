@@ -254,3 +254,20 @@ def test_every_daily_mart_outlives_the_session(spark, tmp_path):
     assert other.read.parquet(f"{out}/checks_report").count() == report.count() > 0
     with pytest.raises(ValueError):
         run_tagged(spark, registry(spark), out, names=["no_such_mart"])
+
+
+def test_checks_deal_keys_out_before_they_are_counted(spark):
+    """No task counts all keys of its input: 40,000 keys of one input task are
+    counted in as many parts as there are shuffle partitions."""
+    import contextlib
+    import io
+    rows = spark.range(0, 40_000, 1, 1).select(F.col("id").alias("k"), (F.col("id") % 9).alias("v"))
+    report = run_checks([Check("t", "k", "unique"), Check("t", "v", "accepted_range", max_value=7)], {"t": rows})
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        report.explain()
+    tree = buf.getvalue().splitlines()
+    counted = max(i for i, line in enumerate(tree) if "HashAggregate" in line)
+    assert any("REPARTITION_BY_NUM" in line for line in tree[counted + 1:])
+    got = {r.check_name: r.failures for r in report.collect()}
+    assert got == {"unique": 0, "accepted_range": 40_000 // 9}
