@@ -110,3 +110,14 @@ def test_the_fact_behind_a_view_is_built_once(spark):
     rows = view_sql.queries()["mart_m14_view"](spark, "/root/testdata/sf0.001").count()
     built, = set(glob.glob(pattern)) - before
     assert spark.read.parquet(built).count() >= rows > 0
+
+
+def test_load_view_deals_rows_out_before_the_vehicles(spark):
+    """The view has the mart's rows, and its fan-out runs in all tasks."""
+    got = view_sql.queries()["mart_m09_view"](spark, SF_SMALL)
+    want = mart_queries.queries()["mart_m09_loads"](spark, SF_SMALL)
+    assert got.columns == want.columns and got.schema.simpleString() == want.schema.simpleString()
+    assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0 and want.count() > 0
+    plan = got._jdf.queryExecution().executedPlan().toString().splitlines()
+    dealt = [i for i, line in enumerate(plan) if "REPARTITION_BY_NUM" in line]
+    assert len(dealt) == 1 and sum("Join" in line for line in plan[:dealt[0]]) == 1
