@@ -9,6 +9,7 @@ from litreflow.functions.scalar import (
     is_after,
     first_non_null,
     snap_to_day,
+    spread_null_ids,
     spread_nulls,
     substitute_key,
     waterfall,
@@ -23,6 +24,7 @@ __all__ = [
     "is_after",
     "first_non_null",
     "snap_to_day",
+    "spread_null_ids",
     "spread_nulls",
     "substitute_key",
     "waterfall",

@@ -23,6 +23,7 @@ from litreflow.functions import (
     greater_or_second,
     half_up_ratio,
     is_after,
+    spread_null_ids,
     spread_nulls,
     substitute_key,
     zero_fallback,
@@ -220,19 +221,20 @@ def enriched_fact(spark, sf_dir) -> DataFrame:
         "funder_id", F.when(F.col("l_returnflag") == "N", F.col("l_suppkey")))
     # Lookups hang on their own parent: nation and region on the customer,
     # customer and newest order on the order. The fact is shuffled once per
-    # own key: order, funder, part, promotion.
+    # own key, the keys that add the least to its rows first: promotion, part,
+    # funder, order.
     places = n.join(r, F.col("n_regionkey") == F.col("r_regionkey"), "left")
     owners = (c.join(places, F.col("c_nationkey") == F.col("n_nationkey"), "left")
               .join(latest, F.col("c_custkey") == F.col("ncp_custkey"), "left"))
     ordered = o.join(owners, F.col("o_custkey") == F.col("c_custkey"), "left")
     j = (fact
-         .join(ordered, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-         .join(funder, (spread_nulls("funder_id", "l_orderkey", "l_linenumber")
-                        == F.col("funder_key").cast("string")) & F.col("funder_id").isNotNull(), "left")
-         .join(p, F.col("l_partkey") == F.col("p_partkey"), "left")
          .join(promos, (F.col("ship_date") == F.col("promo_date"))
                & (F.col("l_suppkey") == F.col("promo_supp"))
-               & (F.col("l_partkey") == F.col("promo_part")), "left"))
+               & (F.col("l_partkey") == F.col("promo_part")), "left")
+         .join(p, F.col("l_partkey") == F.col("p_partkey"), "left")
+         .join(funder, (spread_null_ids("funder_id", "l_orderkey", "l_linenumber") == F.col("funder_key"))
+               & F.col("funder_id").isNotNull(), "left")
+         .join(ordered, F.col("l_orderkey") == F.col("o_orderkey"), "left"))
     return j.select(
         "ship_date", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         F.col("c_name").alias("customer"), F.col("c_mktsegment").alias("segment"),

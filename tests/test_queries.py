@@ -130,3 +130,20 @@ def test_rebates_never_meet_the_orders_in_a_range_join(spark):
     plan = _unbroadcast(spark, "mart_m08_buyer_orders")
     ranged = [block for block in plan.split("\n\n") if "__vj_bucket" in block and "Join" in block.split("\n")[0]]
     assert ranged and not any("o_orderkey" in block or "BuyerOrderID" in block for block in ranged)
+
+
+def _optimized(spark, name):
+    return E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+
+
+def test_the_fact_meets_its_widest_lookup_last(spark):
+    """Narrow rows are shuffled for promotions and parts, the order comes last."""
+    joins = [ln for ln in _optimized(spark, "enriched_fact") if "Join LeftOuter" in ln]
+    order, promo = ([i for i, ln in enumerate(joins) if key in ln] for key in ("o_orderkey", "promo_part"))
+    assert order == [0] and promo > order
+
+
+def test_missing_whole_number_keys_stay_numbers(spark):
+    for name in ("enriched_fact",):
+        joins = [ln for ln in _optimized(spark, name) if "Join" in ln]
+        assert joins and not any("as string" in ln or "null:" in ln for ln in joins), name
