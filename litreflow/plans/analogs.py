@@ -24,7 +24,6 @@ from litreflow.functions import (
     half_up_ratio,
     is_after,
     spread_null_ids,
-    spread_nulls,
     substitute_key,
     zero_fallback,
 )
@@ -272,8 +271,8 @@ def _linked_payments(t: DriverTables) -> DataFrame:
                        F.col("o_orderdate").alias("entry_captured"))
     # the nil entry matches nothing and may be the most frequent id: spread
     known = F.col("txn_id").isNotNull() & (F.col("txn_id") != NIL_KEY)
-    key = spread_nulls(F.when(known, F.col("txn_id")), "order_key", "captured")
-    return links.join(entries, (key == F.col("entry_id").cast("string")) & known, "left")
+    key = spread_null_ids(F.when(known, F.col("txn_id")), "order_key", "captured")
+    return links.join(entries, (key == F.col("entry_id")) & known, "left")
 
 
 # Settlement date per order; one pass with conditional aggregates.

@@ -144,6 +144,6 @@ def test_the_fact_meets_its_widest_lookup_last(spark):
 
 
 def test_missing_whole_number_keys_stay_numbers(spark):
-    for name in ("enriched_fact",):
+    for name in ("payment_dates", "buyer_orders", "enriched_fact"):
         joins = [ln for ln in _optimized(spark, name) if "Join" in ln]
         assert joins and not any("as string" in ln or "null:" in ln for ln in joins), name
