@@ -38,6 +38,8 @@ from array import array
 from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import compress, repeat
+from operator import add, not_
 
 import numpy as np
 import public_tokenizers
@@ -57,6 +59,8 @@ SHAPES = ((128, 2), (64, 3), (128, 3), (64, 4), (256, 2))
 GROUP_PIECES = 4096
 #: Characters that the tokenizer works on at once (its results are large).
 BATCH_CHARS = 300_000
+#: Bytes of texts whose words are looked up at once.
+GROUP_BYTES = 250_000
 #: Words of which the ids are kept, and the longest of them in bytes.
 HELD_WORDS, HELD_BYTES = 500_000, 80
 
@@ -79,7 +83,20 @@ def _tokenizer(name_or_path: str, plain: bool = False) -> Tokenizer:
 
 #: Lower-case letters, each one letter in either case, and marks after a word.
 _PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
-_MARKS = ".,;:!?"
+_MARKS = b".,;:!?"
+#: Capitals of Latin-1 in UTF-8, the second byte of a lower-case letter is 32 more.
+_CAPITALS = re.compile(b"\xc3[\x80-\x96\x98-\x9e]")
+_LOWER = {bytes((0xC3, x)): bytes((0xC3, x + 32)) for x in range(0x80, 0x9F)}
+#: First bytes of U+0300 to U+037F: marks that may join a small letter only.
+_JOINING = re.compile(b"[\xcc\xcd]")
+
+
+def _split(text: bytes) -> list[bytes]:
+    """Words between ASCII white space; letters up to U+00FF in lower case, as
+    the tokenizer makes them, unless a mark may change with them."""
+    if _JOINING.search(text) is None:
+        text = _CAPITALS.sub(lambda m: _LOWER[m[0]], text.lower())
+    return text.split()
 
 
 class WordIds:
@@ -87,17 +104,22 @@ class WordIds:
 
     No token spans ASCII white space, and neither normalisation nor splitting
     looks across it, so a text's ids are those of its words between white
-    space, each encoded once by the library and kept while there is room. Words
-    of letters only are one unit of the tokenizer each: many are encoded as one
-    text and told apart by the tokens that end a unit.
+    space, each encoded once by the library and kept while there is room: what
+    was not met since the store was half full goes. Words of letters only are
+    one unit of the tokenizer each: many are encoded as one text and told apart
+    by the tokens that end a unit.
     """
 
     def __init__(self, vocabulary: str) -> None:
         made = _tokenizer(vocabulary)
         self.encode = made.encode_batch_fast
         self.encode_plain = _tokenizer(vocabulary, plain=True).encode_batch_fast
+        # of words, and of words of letters without the marks after them; each
+        # with what was kept before
         self.held: dict[bytes, bytes] = {}
-        self.letters: dict[str, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.letters: dict[bytes, bytes] = {}
+        self.older_letters: dict[bytes, bytes] = {}
         suffix = getattr(made.model, "end_of_word_suffix", None)
         self.ends = None
         if suffix:
@@ -106,49 +128,40 @@ class WordIds:
 
     def __call__(self, docs: list[bytes]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of every text."""
-        for a, b in char_groups(docs):
-            words = [t.split() for t in docs[a:b]]
-            if len(self.held) > HELD_WORDS:
-                self.held.clear()
-                self.letters.clear()
-            long = self._learn([w for w in set().union(*words) if w not in self.held])
-            known = {**self.held, **long} if long else self.held
+        for a, b in char_groups(docs, GROUP_BYTES):
+            words = [_split(t) for t in docs[a:b]]
+            if len(self.held) > HELD_WORDS // 2:
+                self.held, self.older = {}, self.held
+            if len(self.letters) > HELD_WORDS // 2:
+                self.letters, self.older_letters = {}, self.letters
+            new = _missing(set().union(*words), self.held, self.older)
+            self._learn(new)
             for own in words:
-                yield b"".join(map(known.__getitem__, own))
+                yield b"".join(map(self.held.__getitem__, own))
+            for word in new:
+                if len(word) > HELD_BYTES:
+                    del self.held[word]
 
-    def _learn(self, new: list[bytes]) -> dict[bytes, bytes]:
-        """Keep the ids of new words; those too long to be kept are returned."""
-        if not new:
-            return {}
-        strings = b" ".join(new).decode("utf-8", "replace").split(" ")
+    def _learn(self, new: list[bytes]) -> None:
+        """Hold the ids of new words."""
         held, letters = self.held, self.letters
-        plain: list[tuple[bytes, str, str]] = []
-        whole: list[int] = []
-        unknown: dict[str, None] = {}
-        is_plain, marks = _PLAIN.fullmatch, {""}
-        for i, word in enumerate(new):
-            low = strings[i].lower()
-            stem = low.rstrip(_MARKS)
-            if len(word) <= HELD_BYTES and is_plain(stem) and self.ends is not None:
-                mark = low[len(stem):]
-                if mark not in marks:
-                    marks.add(mark)
-                if stem not in letters:
-                    unknown[stem] = None
-                plain.append((word, stem, mark))
-            else:
-                whole.append(i)
-        stems = list(unknown)
-        for i, j in char_groups(stems, BATCH_CHARS):
-            letters.update(zip(stems[i:j], self._units(stems[i:j])))
-        marks.remove("")
-        of_mark = dict(zip(marks, self._each(list(marks))))
-        of_mark[""] = b""
-        held.update([(word, letters[stem] + of_mark[mark]) for word, stem, mark in plain])
-        long = {}
-        for i, ids in zip(whole, self._each([strings[i] for i in whole])):
-            (held if len(new[i]) <= HELD_BYTES else long)[new[i]] = ids
-        return long
+        stems = list(map(bytes.rstrip, new, repeat(_MARKS)))
+        if self.ends is not None:
+            unknown = [w for w in _missing(set(stems), letters, self.older_letters) if len(w) <= HELD_BYTES]
+            strings = _strings(unknown)
+            plain = list(map(_PLAIN.fullmatch, strings))
+            unknown, strings = list(compress(unknown, plain)), list(compress(strings, plain))
+            for i, j in char_groups(strings, BATCH_CHARS):
+                letters.update(zip(unknown[i:j], self._units(strings[i:j])))
+        there = list(map(letters.__contains__, stems))
+        words, stems = list(compress(new, there)), list(compress(stems, there))
+        marks = list(map(bytes.removeprefix, words, stems))
+        kinds = list(set(marks) - {b""})
+        of_mark = dict(zip(kinds, self._each(_strings(kinds))))
+        of_mark[b""] = b""
+        held.update(zip(words, map(add, map(letters.__getitem__, stems), map(of_mark.__getitem__, marks))))
+        whole = list(compress(new, map(not_, there)))
+        held.update(zip(whole, self._each(_strings(whole))))
 
     def _each(self, strings: list[str]) -> Iterator[bytes]:
         for i, j in char_groups(strings, BATCH_CHARS):
@@ -162,10 +175,21 @@ class WordIds:
         if len(cuts) != len(words):  # not one unit each
             yield from self._each(words)
             return
-        raw, at = ids.tobytes(), 0
-        for cut in (4 * cuts).tolist():
-            yield raw[at:cut]
-            at = cut
+        raw, cuts = ids.tobytes(), (4 * cuts).tolist()
+        yield from map(raw.__getitem__, map(slice, [0, *cuts], cuts))
+
+
+def _missing(words: set[bytes], held: dict[bytes, bytes], older: dict[bytes, bytes]) -> list[bytes]:
+    """The words that are not held; those held before are again."""
+    new = words.difference(held)
+    again = list(filter(older.__contains__, new))
+    held.update(zip(again, map(older.__getitem__, again)))
+    return list(new.difference(again))
+
+
+def _strings(words: list[bytes]) -> list[str]:
+    """Words without white space as strings; invalid UTF-8 gives U+FFFD."""
+    return b" ".join(words).decode("utf-8", "replace").split(" ") if words else []
 
 
 @lru_cache(maxsize=1)

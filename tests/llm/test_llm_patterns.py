@@ -169,6 +169,35 @@ def test_words_are_forgotten_and_learnt_again(monkeypatch):
     assert list(P.WordIds(P.VOCABULARY)(docs)) == want
 
 
+def test_words_are_encoded_once_in_either_case_and_while_they_are_met(monkeypatch):
+    ids_of, asked = P.WordIds(P.VOCABULARY), []
+    whole, plain = ids_of.encode, ids_of.encode_plain
+
+    def counted(encode):
+        def run(strings, **options):
+            asked.extend(w for x in strings for w in x.split(" "))
+            return encode(strings, **options)
+        return run
+
+    ids_of.encode, ids_of.encode_plain = counted(whole), counted(plain)
+    list(ids_of(["\u00c9tre \u00e9tre \u00c9TRE Word word".encode()]))
+    assert sorted(asked) == ["word", "\u00e9tre"]
+    monkeypatch.setattr(P, "HELD_WORDS", 100)
+    asked.clear()
+    for k in range(40):  # 800 words go by, one stays
+        list(ids_of([" ".join(["usual,", *(f"x{k}y{j}" for j in range(20))]).encode()]))
+    assert asked.count("usual") == 1 and len(ids_of.held) + len(ids_of.older) <= 200
+
+
+@pytest.mark.parametrize("text", [
+    "H\u0331 \u1e96 T\u0308t J\u030c", "\u00c9\u0301x \u00c9. \u00c9TRE,", "\u0130stanbul \u1e9e \u0391\u03a3.",
+    "<|ENDOFTEXT|> <|endoftext|>,", "Foo., bar!? (X), DON'T 'S \u00c9's", "\u00d7\u00d7 \u00df\u00de \u00f7 \u212aK",
+    "A\x1cB\x85C D\x0bE"])
+def test_words_in_lower_case_have_the_ids_of_the_text(text):
+    want = np.array(reference_ids([text])[0][:-1], dtype="<u4").tobytes()
+    assert list(P.WordIds(P.VOCABULARY)([text.encode()])) == [want]
+
+
 def test_empty_table(spark, tmp_path):
     sf = H.tables(tmp_path, spark, documents=H.empty_docs(spark))
     assert P.op11_pattern_packing(spark, sf).collect() == []
