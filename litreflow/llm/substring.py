@@ -34,15 +34,15 @@ ASCII case. Other columns are kept by ``cut``.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import (WORD_BYTES, add_columns, checkpointed, fresh, gram_hashes, replace_column,
-                     slices, table, utf8_texts, word_hashes)
+from .common import (_PRIME, WORD_BYTES, add_columns, char_groups, checkpointed, fresh, gram_hashes, mix64,
+                     replace_column, slices, table, utf8_texts, word_hashes)
 
 SEED_WORDS = 5
 #: One gram in so many is a seed by its hash alone, so that it is one in every
@@ -79,40 +79,69 @@ BROADCAST_BYTES = 12_000_000
 _LAST_ID = (1 << 63) - 1
 
 
-def seed_positions(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and position of the seeds of a text's word hashes."""
-    grams = gram_hashes(words, SEED_WORDS)
-    n = len(grams)
-    if not n:
-        return grams, np.zeros(0, dtype=np.int64)
+#: Bytes of texts whose seeds are found at once.
+GROUP_BYTES = 100_000
+#: Words of zeros around texts that are laid side by side, so that no seed, no
+#: window of seeds and no word beside a seed is of two texts.
+SPACE = SEED_WORDS + AHEAD
+
+
+def laid_out(words: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words of texts (``sizes`` of each) with SPACE zeros before, between
+    and after them, and the place of each text's first word."""
+    begins = np.cumsum(sizes + SPACE) - sizes
+    out = np.zeros(int((sizes + SPACE).sum()) + SPACE, dtype=np.uint64)
+    out[np.arange(len(words)) + np.repeat(begins - (np.cumsum(sizes) - sizes), sizes)] = words
+    return out, begins
+
+
+def seed_positions(words: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and place of the seeds of texts that are laid out."""
+    counts = np.maximum(sizes - SEED_WORDS + 1, 0)
+    edges = np.zeros(len(words), dtype=np.int8)
+    edges[begins] = 1
+    edges[begins + counts] -= 1
+    inside = np.cumsum(edges, dtype=np.int8).view(bool)
+    grams = np.full(len(words), ~np.uint64(0))
+    grams[: len(words) - SEED_WORDS + 1] = gram_hashes(words, SEED_WORDS)
+    grams[~inside] = ~np.uint64(0)
     chosen = grams < np.uint64((1 << 64) // SEED_SHARE)
-    if n <= SEED_WINDOW:
-        chosen[grams.argmin()] = True
-    else:  # windows that have no seed yet
-        sums = np.concatenate([[0], np.cumsum(chosen)])
-        empty = np.flatnonzero(sums[SEED_WINDOW:] == sums[:-SEED_WINDOW])
-        if len(empty):
-            windows = np.lib.stride_tricks.sliding_window_view(grams, SEED_WINDOW)[empty]
-            chosen[empty + windows.argmin(axis=1)] = True
+    # windows that have no seed yet; a text of fewer grams is one window
+    sums = np.concatenate([[0], np.cumsum(chosen, dtype=np.int32)])
+    empty = sums[SEED_WINDOW:] == sums[:-SEED_WINDOW]
+    few = begins[(counts > 0) & (counts < SEED_WINDOW)]
+    few = few[empty[few]]
+    empty &= inside[: len(empty)] & inside[SEED_WINDOW - 1 :]
+    empty[few] = True
+    empty = np.flatnonzero(empty)
+    windows = np.lib.stride_tricks.sliding_window_view(grams, SEED_WINDOW)[empty]
+    chosen[empty + windows.argmin(axis=1)] = True
     at = np.flatnonzero(chosen)
     return grams[at], at
 
 
 def sides(words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``beside`` the seeds of one text."""
+    sizes = np.array([len(words)])
+    return beside(laid_out(words, sizes)[0], at + SPACE)
+
+
+def beside(words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The words after the seeds, nearest first: 4 bits each of SIDE words, then
     16 bits of a hash of those up to AHEAD; and 4 bits each of SIDE words
     before, the nearest lowest."""
-    n = len(words)
-    bits = np.zeros(n + SEED_WORDS + 2 * SIDE, dtype=np.uint64)
-    bits[SIDE : SIDE + n] = words >> np.uint64(60)
-    ahead, behind = np.zeros(len(at), dtype=np.uint64), np.zeros(len(at), dtype=np.uint64)
-    for j in range(SIDE):
-        behind |= bits[at + (SIDE - 1 - j)] << np.uint64(4 * j)
-        ahead = ahead << np.uint64(4) | bits[at + (SIDE + SEED_WORDS + j)]
-    padded = np.zeros(n + SEED_WORDS + AHEAD, dtype=np.uint64)
-    padded[:n] = words
-    far = gram_hashes(padded, AHEAD - SIDE)[at + (SEED_WORDS + SIDE)]
-    return (ahead << np.uint64(16) | far >> np.uint64(48)).view(np.int64), behind.view(np.int64)
+    bits, n = (words >> np.uint64(60)).astype(np.uint64), 1
+    while n < SIDE:  # of 2, 4, 8 words
+        bits = bits[:-n] << np.uint64(4 * n) | bits[n:]
+        n *= 2
+    far = np.zeros(len(at), dtype=np.uint64)
+    for j in range(SIDE, AHEAD):  # as gram_hashes
+        if j > SIDE:
+            far *= _PRIME
+            far ^= far >> np.uint64(29)
+        far += words[at + (SEED_WORDS + j)]
+    ahead = bits[at + SEED_WORDS] << np.uint64(16) | mix64(far) >> np.uint64(48)
+    return ahead.view(np.int64), bits[at - SIDE].view(np.int64)
 
 
 def reach(ahead: np.ndarray, behind: np.ndarray) -> np.ndarray:
@@ -182,35 +211,62 @@ def _once(rows: dict[str, np.ndarray]) -> np.ndarray:
     return keep
 
 
+def _by_seed(rows: dict[str, np.ndarray], in_order: bool) -> np.ndarray:
+    """The order of rows by seed, ahead, doc, text_key, at; ``in_order``: they
+    are in that of the last three, each other than the next. Few seeds are
+    there more than once: only those are sorted by more than the seed."""
+    if not in_order:
+        return np.lexsort([rows[k] for k in ("at", "text_key", "doc", "ahead", "seed")])
+    order = np.argsort(rows["seed"])
+    seed = rows["seed"][order]
+    tied = np.zeros(len(order) + 1, dtype=bool)
+    tied[1:-1] = seed[1:] == seed[:-1]
+    tied = tied[1:] | tied[:-1]
+    again = np.sort(order[tied])
+    order[tied] = again[np.lexsort((rows["ahead"][again], rows["seed"][again]))]
+    return order
+
+
+def _found(texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
+    """seed, ahead, behind and place of the texts' seeds, and how many each has."""
+    for i, j in char_groups(texts, GROUP_BYTES):
+        ends = np.cumsum([len(t) + 1 for t in texts[i:j]])
+        hashes, starts, _ = word_hashes(b"\n".join(texts[i:j]).lower(), WORD_BYTES)
+        sizes = np.diff(np.searchsorted(starts, ends), prepend=0)
+        words, begins = laid_out(hashes, sizes)
+        seed, at = seed_positions(words, begins, sizes)
+        n = np.diff(np.searchsorted(at, begins + sizes), prepend=0)
+        yield seed.view(np.int64), *beside(words, at), (at - np.repeat(begins, n)).astype(np.int32), n
+
+
 def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc, text_key, text) -> _SEED, one row for each occurrence that no
     earlier document of the same slice matches in the words ahead, and matches
     with those: their place is -1 - at, the source's doc is in ``seed``, its
     text_key and place in ``ahead``."""
     for batch in slices(batches):
-        found = []
-        for t in utf8_texts(batch.column(2)):
-            words = word_hashes(t.lower(), WORD_BYTES)[0]
-            hashes, at = seed_positions(words)
-            found.append((hashes.view(np.int64), *sides(words, at), at.astype(np.int32)))
-        sizes = [len(x[0]) for x in found]
-        if not sum(sizes):
+        doc, key = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+        order = np.lexsort((key, doc))
+        doc, key = doc[order], key[order]
+        seed, ahead, behind, at, sizes = (
+            np.concatenate(x) for x in zip(*_found(utf8_texts(batch.column(2).take(pa.array(order))))))
+        if not len(seed):
             continue
-        doc, key = (np.repeat(batch.column(i).to_numpy(zero_copy_only=False), sizes) for i in (0, 1))
-        seed, ahead, behind, at = (np.concatenate(x) for x in zip(*found))
-        rows = dict(zip(_SEED_NAMES, (seed, ahead, behind, doc, key, at)))
-        order = np.lexsort((at, key, doc, ahead, seed))
+        again = (doc[1:] == doc[:-1]) & (key[1:] == key[:-1])
+        rows = dict(zip(_SEED_NAMES, (seed, ahead, behind, np.repeat(doc, sizes), np.repeat(key, sizes), at)))
+        order = _by_seed(rows, not again.any())
         rows = {k: x[order] for k, x in rows.items()}
-        once = _once(rows)
-        rows = {k: x[once] for k, x in rows.items()}
+        if again.any():
+            once = _once(rows)
+            rows = {k: x[once] for k, x in rows.items()}
         group, of_doc, start, first = _runs(rows)
-        origin, later = _origins(of_doc, start, first, group), ~first
-        out = {k: x.copy() for k, x in rows.items()}
-        out["seed"][later] = rows["doc"][origin[later]]
-        out["ahead"][later] = rows["text_key"][origin[later]] << 31 | rows["at"][origin[later]].astype(np.int64)
-        out["behind"][later] = 0
-        out["at"][later] = -1 - rows["at"][later]
-        yield pa.RecordBatch.from_arrays([pa.array(out[k]) for k in _SEED_NAMES], names=_SEED_NAMES)
+        origin, later = _origins(of_doc, start, first, group), np.flatnonzero(~first)
+        origin = origin[later]
+        meant = [rows["doc"][origin], rows["text_key"][origin] << 31 | rows["at"][origin].astype(np.int64),
+                 0, -1 - rows["at"][later]]
+        for name, x in zip(("seed", "ahead", "behind", "at"), meant):
+            rows[name][later] = x
+        yield pa.RecordBatch.from_arrays([pa.array(rows[k]) for k in _SEED_NAMES], names=_SEED_NAMES)
 
 
 _MATCH = "doc bigint, text_key bigint, source bigint, source_key bigint, own int, other int, reach smallint"
@@ -379,8 +435,12 @@ def chains(own: list[int], other: list[int]) -> list[list[int]]:
 def _one_chain(own: np.ndarray, other: np.ndarray) -> bool:
     """Whether all matches ascend in both texts by steps that cost less than a
     seed gains: then they are the best chain, and the only one."""
-    p, q = np.diff(own.astype(np.int64)), np.diff(other.astype(np.int64))
-    return bool((p > 0).all() and (q > 0).all() and (GAP_COST * (p + q) < SEED_WORDS).all())
+    return bool(_linked(np.diff(own.astype(np.int64)), np.diff(other.astype(np.int64))).all())
+
+
+def _linked(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Steps in both texts that are such."""
+    return (p > 0) & (q > 0) & (GAP_COST * (p + q) < SEED_WORDS)
 
 
 #: own, other: the seeds' places from the first one on, as _packed.
@@ -394,29 +454,53 @@ def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [x.split()[0] for x in _CHAIN.split(", ")]
     rest = None
 
-    def made(*columns: np.ndarray) -> pa.RecordBatch:
+    kinds = [pa.int64()] * 4 + [pa.int32()] * 4 + [pa.binary()] * 2
+
+    def made(*columns: np.ndarray) -> Iterator[pa.RecordBatch]:
         pair, (own, other, near) = columns[:4], columns[4:]
         begins = np.ones(len(own) + 1, dtype=bool)
         begins[1:-1] = np.any([x[1:] != x[:-1] for x in pair], axis=0)
         lone = begins[1:] & begins[:-1]  # the only match of its pair
         far = near.astype(np.int64)
         keep = ~lone | may_extend(SEED_WORDS, far, far)
-        pair, (own, other, near) = [x[keep] for x in pair], (x[keep] for x in (own, other, near))
+        if not keep.any():
+            return
+        pair = [x[keep] for x in pair]
+        own, other, near = (x[keep].astype(np.int64) for x in (own, other, near))
         cuts = np.flatnonzero(np.any([x[1:] != x[:-1] for x in pair], axis=0)) + 1
+        first, last = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(own)]]) - 1
+        p, q = np.diff(own), np.diff(other)
+
+        def none(which: np.ndarray) -> np.ndarray:
+            """Pairs without such a step."""
+            sums = np.concatenate([[0], np.cumsum(which)])
+            return sums[first] == sums[last]
+
+        single = none(~_linked(p, q))
+        span = own[last] - own[first]
+        run = (span == other[last] - other[first]) & none(p > SEED_WORDS)
+        whole = single & (~run | may_extend(span + SEED_WORDS, near[last], near[first]))
+        a, z = first[whole], last[whole]
+        if len(a):
+            head = _head(1, 0)  # the steps of a single chain are short
+            packed = [[head + raw[i:j] for i, j in zip(a.tolist(), z.tolist())]
+                      for raw in (x.astype("<i1").tobytes() for x in (p, q))]
+            bounds = [own[a], own[z] + SEED_WORDS, other[a], other[z] + SEED_WORDS]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip([*[x[a] for x in pair], *[x.astype(np.int32) for x in bounds], *packed], kinds)],
+                names=names)
         rows = []
-        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(own)]) if len(own) else ():
+        for a, b in zip(first[~single].tolist(), (last[~single] + 1).tolist()):
             p, q = own[a:b].tolist(), other[a:b].tolist()
-            for chain in [range(b - a)] if _one_chain(own[a:b], other[a:b]) else chains(p, q):
+            for chain in chains(p, q):
                 x, y = [p[i] for i in chain], [q[i] for i in chain]
                 run = x[-1] - x[0] == y[-1] - y[0] and all(j - i <= SEED_WORDS for i, j in zip(x, x[1:]))
                 if run and not may_extend(x[-1] - x[0] + SEED_WORDS, int(near[a + chain[-1]]), int(near[a + chain[0]])):
                     continue
                 rows.append((*[int(k[a]) for k in pair], x[0], x[-1] + SEED_WORDS, y[0], y[-1] + SEED_WORDS,
                              _packed(x, 0), _packed(y, 0)))
-        made_of = list(zip(*rows)) or [()] * len(names)
-        kinds = [pa.int64()] * 4 + [pa.int32()] * 4 + [pa.binary()] * 2
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(c), k) for c, k in zip(made_of, kinds)], names=names)
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)], names=names)
 
     for batch in batches:
         new = [batch.column(i).to_numpy() for i in range(7)]
@@ -424,10 +508,10 @@ def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = np.flatnonzero((held[0] != held[0][-1]) | (held[1] != held[1][-1]))
         cut = int(last[-1]) + 1 if len(last) else 0  # the last document may go on
         if cut:
-            yield made(*[x[:cut] for x in held])
+            yield from made(*[x[:cut] for x in held])
         rest = [x[cut:] for x in held]
     if rest is not None and len(rest[0]):
-        yield made(*rest)
+        yield from made(*rest)
 
 
 # -- alignment -------------------------------------------------------------
@@ -487,9 +571,8 @@ def _on_diagonals(a: np.ndarray, b: np.ndarray, p: np.ndarray, q: np.ndarray) ->
         return [(x, y, SEED_WORDS)] if same and x + SEED_WORDS <= len(a) else []
     there = (p + SEED_WORDS <= len(a)) & (q + SEED_WORDS <= len(b))
     p, q = p[there], q[there]
-    same = np.ones(len(p), dtype=bool)
-    for k in range(SEED_WORDS):
-        same &= a[p + k] == b[q + k]
+    within = np.arange(SEED_WORDS)
+    same = (a[p[:, None] + within] == b[q[:, None] + within]).all(axis=1)
     p, q = p[same], q[same]
     if not len(p):
         return []
@@ -575,6 +658,26 @@ def _unpacked(raw: bytes) -> np.ndarray:
     return out + int.from_bytes(raw[1:9], "little", signed=True)
 
 
+def _words(texts: list[bytes]) -> Iterator[tuple[int, bytes, Callable[..., bytes], Callable[..., bytes]]]:
+    """Of each text: how many words, 32 bits of each word's hash, and what packs
+    the byte places at which words lo .. hi - 1 start, and end."""
+
+    def packer(places: np.ndarray) -> Callable[[int, int], bytes]:
+        steps = np.diff(places)
+        if len(steps) and steps.max() > 127:
+            return lambda lo, hi: _packed(places[lo:hi])
+        raw = steps.astype("<i1").tobytes()
+        return lambda lo, hi: _head(1, int(places[lo])) + raw[lo : hi - 1]
+
+    for i, j in char_groups(texts, GROUP_BYTES):
+        edges = np.cumsum([0, *(len(t) + 1 for t in texts[i:j])])
+        words, starts, ends = word_hashes(b"\n".join(texts[i:j]).lower(), WORD_BYTES)
+        short = (words >> np.uint64(33)).astype("<i4").tobytes()
+        cuts = np.searchsorted(starts, edges).tolist()
+        for edge, a, b in zip(edges.tolist(), cuts, cuts[1:]):
+            yield b - a, short[4 * a : 4 * b], packer(starts[a:b] - edge), packer(ends[a:b] - edge)
+
+
 def _word_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc, text_key, text, asked, chains) -> rows of word hashes: the ranges
     asked for by others, and own ranges around each chain with the words' byte
@@ -584,20 +687,19 @@ def _word_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         out: list[tuple] = []
         docs, keys, asked, chained = (batch.column(i).to_pylist() for i in (0, 1, 3, 4))
-        for doc, key, text, ranges, own in zip(docs, keys, utf8_texts(batch.column(2)), asked, chained):
-            words, starts, ends = word_hashes(text.lower(), WORD_BYTES)
-            short = (words >> np.uint64(33)).astype(np.int32)
+        for doc, key, ranges, own, words in zip(docs, keys, asked, chained, _words(utf8_texts(batch.column(2)))):
+            n, short, starts, ends = words
             for r in ranges or ():
-                out.append((doc, key, r["from"], r["to"], short[r["from"] : r["to"]].tobytes(), *[None] * 7))
+                out.append((doc, key, r["from"], r["to"], short[4 * r["from"] : 4 * r["to"]], *[None] * 7))
             for c in own or ():
-                lo, hi = max(0, c["lo"] - PAD), min(len(words), c["hi"] + PAD)
+                lo, hi = max(0, c["lo"] - PAD), min(n, c["hi"] + PAD)
                 at = c["source_lo"] - PAD
                 low, high = max(0, at // RASTER * RASTER), -(-(c["source_hi"] + PAD) // RASTER) * RASTER
-                out.append((c["source"], c["source_key"], low, high, short[lo:hi].tobytes(), doc, key, lo,
+                out.append((c["source"], c["source_key"], low, high, short[4 * lo : 4 * hi], doc, key, lo,
                             # the first seed's place in the slices
                             _head(c["own"][0], c["lo"] - lo) + c["own"][9:],
                             _head(c["other"][0], c["source_lo"] - low) + c["other"][9:],
-                            _packed(starts[lo:hi]), _packed(ends[lo:hi])))
+                            starts(lo, hi), ends(lo, hi)))
         columns = list(zip(*out)) or [()] * len(kinds)
         yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)],
                                          names=[x.split()[0] for x in _SLICE.split(", ")])

@@ -376,6 +376,41 @@ def test_a_line_of_a_third_of_the_documents_is_not_sent_for_each(spark):
     assert {x[0] for x in _passages(spark, docs.collect())} == set(range(3, 900, 3))
 
 
+def test_seeds_and_words_of_many_texts_are_found_at_once(monkeypatch):
+    """The same as of each text by itself, and not with work for each text."""
+    rng = random.Random(35)
+    texts = [H.words(rng, rng.choice([0, 1, 4, 5, 6, 12, 13, 40, 200]), 50).encode() for _ in range(300)]
+    texts += [b"", b"\n\n", b"a" * 5000 + b" b c d e f", "Ä é \u4e2d. x y z, a B".encode(), texts[7], texts[8]]
+    batch = substring.pa.RecordBatch.from_arrays(
+        [substring.pa.array(x) for x in ([i // 2 for i in range(len(texts))], [i % 2 for i in range(len(texts))],
+                                         [t.decode() for t in texts])], names=["doc", "text_key", "text"])
+    calls = []
+    one_by_one = substring.word_hashes
+    monkeypatch.setattr(substring, "word_hashes", lambda *x: calls.append(x) or one_by_one(*x))
+
+    def found():
+        words = [(n, short, *(f(0, n) if n else b"" for f in fs)) for n, short, *fs in substring._words(texts)]
+        return [b.to_pylist() for b in substring._seeds(iter([batch]))], words
+
+    seeds, words = found()
+    assert len(calls) < len(texts) / 10
+    monkeypatch.setattr(substring, "GROUP_BYTES", 1)
+    assert (seeds, words) == found() and sum(map(len, seeds))
+    for text, (n, short, *_) in zip(texts, words):
+        hashes = one_by_one(text.lower(), substring.WORD_BYTES)[0]
+        assert n == len(hashes) and short == (hashes >> np.uint64(33)).astype("<i4").tobytes()
+    # the definition: a quarter of the grams, and the least of each window or of a short text
+    for text in texts:
+        grams = substring.gram_hashes(one_by_one(text.lower(), substring.WORD_BYTES)[0], substring.SEED_WORDS).tolist()
+        want = {i for i, g in enumerate(grams) if g < (1 << 64) // substring.SEED_SHARE}
+        for i in range(max(1, len(grams) - substring.SEED_WINDOW + 1) if grams else 0):
+            window = grams[i : i + substring.SEED_WINDOW]
+            if not any(i + j in want and g < (1 << 64) // substring.SEED_SHARE for j, g in enumerate(window)):
+                want.add(i + window.index(min(window)))
+        seed, _, _, at, _ = next(substring._found([text]))
+        assert at.tolist() == sorted(want) and seed.view(np.uint64).tolist() == [grams[i] for i in sorted(want)]
+
+
 def test_edited_passages_are_found(spark, tmp_path):
     """Every s-th word replaced: identity 83 to 92 %."""
     rng = random.Random(24)
