@@ -1,0 +1,35 @@
+"""Marts of many rows, built part by part."""
+
+import pytest
+
+from conftest import SF_SMALL
+from litreflow.plans import fuelcard, mart_queries, parts
+from litreflow.session import folder_exists
+
+
+def _same(got, want):
+    assert got.columns == want.columns and got.schema.simpleString() == want.schema.simpleString()
+    assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0 and want.count() > 0
+
+
+@pytest.mark.parametrize("build", [fuelcard.precalculated_transactions])
+def test_parts_together_are_the_mart(spark, monkeypatch, build):
+    """Few depots or many: several parts give the rows of one plan, and what was
+    built for them only is removed."""
+    src = mart_queries.Marts(spark, SF_SMALL)
+    want = build(src)
+    assert not want.__dict__.get(parts._FOLDER)
+    rows = want.collect()
+    want = spark.createDataFrame(rows, want.schema)
+    monkeypatch.setattr(parts, "PART_ROWS", 2500)
+    got = build(src)
+    assert folder_exists(spark, got.__dict__[parts._FOLDER])
+    _same(got, want)
+    parts.drop_parts(got)
+    assert not folder_exists(spark, got.__dict__[parts._FOLDER])
+
+
+def test_rows_without_a_key_are_in_one_part(spark):
+    df = spark.createDataFrame([(None,), ("a",), ("b",), (None,)], "k string")
+    of = [df.filter(parts.of_part(df["k"], i, 3)).count() for i in range(3)]
+    assert sum(of) == 4 and max(of) >= 2
