@@ -3,6 +3,7 @@
 import pytest
 
 from conftest import SF_SMALL
+from litreflow.operators import flags
 from litreflow.plans import fuelcard, mart_queries, parts
 from litreflow.session import folder_exists
 
@@ -12,7 +13,8 @@ def _same(got, want):
     assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0 and want.count() > 0
 
 
-@pytest.mark.parametrize("build", [fuelcard.precalculated_transactions])
+@pytest.mark.parametrize("build", [fuelcard.precalculated_transactions, fuelcard.supplier_data,
+                                   fuelcard.supplier_manager])
 def test_parts_together_are_the_mart(spark, monkeypatch, build):
     """Few depots or many: several parts give the rows of one plan, and what was
     built for them only is removed."""
@@ -22,6 +24,7 @@ def test_parts_together_are_the_mart(spark, monkeypatch, build):
     rows = want.collect()
     want = spark.createDataFrame(rows, want.schema)
     monkeypatch.setattr(parts, "PART_ROWS", 2500)
+    monkeypatch.setattr(flags.are_few, "__defaults__", (1,))
     got = build(src)
     assert folder_exists(spark, got.__dict__[parts._FOLDER])
     _same(got, want)
@@ -33,3 +36,18 @@ def test_rows_without_a_key_are_in_one_part(spark):
     df = spark.createDataFrame([(None,), ("a",), ("b",), (None,)], "k string")
     of = [df.filter(parts.of_part(df["k"], i, 3)).count() for i in range(3)]
     assert sum(of) == 4 and max(of) >= 2
+
+
+def test_supplier_data_moves_lookups_not_the_fact(spark):
+    """The authorisations and consignments meet narrow sides, before the fact:
+    after the joins by the transaction id nothing is shuffled again."""
+    src = mart_queries.Marts(spark, SF_SMALL)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        plan = fuelcard.supplier_data(src)._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.set(key, before)
+    top = plan[:next(i for i, line in enumerate(plan) if "Exchange" in line and "Broadcast" not in line)]
+    assert sum("SortMergeJoin" in line for line in top) >= 4
