@@ -13,8 +13,8 @@ def _same(got, want):
     assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0 and want.count() > 0
 
 
-@pytest.mark.parametrize("build", [fuelcard.precalculated_transactions, fuelcard.supplier_data,
-                                   fuelcard.supplier_manager])
+@pytest.mark.parametrize("build", [fuelcard.orders_with_drivers, fuelcard.precalculated_transactions,
+                                   fuelcard.supplier_data, fuelcard.supplier_manager])
 def test_parts_together_are_the_mart(spark, monkeypatch, build):
     """Few depots or many: several parts give the rows of one plan, and what was
     built for them only is removed."""
