@@ -1,11 +1,14 @@
 """Marts of many rows, built part by part."""
 
+import time
+
 import pytest
 
 from conftest import SF_SMALL
 from litreflow.operators import flags
 from litreflow.plans import fuelcard, mart_queries, parts
-from litreflow.session import folder_exists
+from litreflow.session import dropping_shuffles, folder_exists
+from litreflow.sinks import write_table
 
 
 def _same(got, want):
@@ -38,6 +41,29 @@ def test_rows_without_a_key_are_in_one_part(spark):
     assert sum(of) == 4 and max(of) >= 2
 
 
+def test_a_write_leaves_no_shuffle_files(spark, tmp_path):
+    """Its shuffle files go when it ends, and the session's setting comes back."""
+    local = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = local.getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    before = shuffled()
+    write_table(spark.range(1000).repartition(7, "id"), f"{tmp_path}/t")
+    assert spark.read.parquet(f"{tmp_path}/t").count() == 1000
+    until = time.time() + 20   # they are removed in the background
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not shuffled() - before
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    held = spark.conf.get(key)
+    with pytest.raises(RuntimeError), dropping_shuffles(spark):
+        assert spark.conf.get(key) == "true"
+        raise RuntimeError
+    assert spark.conf.get(key) == held
+
+
 def test_supplier_data_moves_lookups_not_the_fact(spark):
     """The authorisations and consignments meet narrow sides, before the fact:
     after the joins by the transaction id nothing is shuffled again."""
