@@ -6,7 +6,7 @@ import pytest
 
 from conftest import SF_SMALL
 from litreflow.operators import flags
-from litreflow.plans import fuelcard, mart_queries, parts
+from litreflow.plans import fuelcard, mart_queries, parts, wholesale
 from litreflow.session import dropping_shuffles, folder_exists
 from litreflow.sinks import write_table
 
@@ -77,3 +77,14 @@ def test_supplier_data_moves_lookups_not_the_fact(spark):
         spark.conf.set(key, before)
     top = plan[:next(i for i, line in enumerate(plan) if "Exchange" in line and "Broadcast" not in line)]
     assert sum("SortMergeJoin" in line for line in top) >= 4
+
+
+def test_m09_vehicles_are_broadcast_whatever_the_threshold(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        plan = wholesale.loads(mart_queries.Marts(spark, SF_SMALL))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, before)
+    assert "BroadcastHashJoin" in plan.split("REPARTITION_BY_NUM")[0]
